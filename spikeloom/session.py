@@ -17,6 +17,7 @@ LOCAL_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # small dimension tables (per-day counts, periods) are broadcast; anything bigger shuffles
     "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
