@@ -1,14 +1,14 @@
 """Text columns (C13-C17): usernames, titles, bodies, hash filler, the rare viral post.
 
 Every pick reads a few hex digits of a per-row md5 (no division, no Python), words come from
-constant arrays, and sentences are `transform(sequence(...))` over a word-index recurrence:
-word k of a row is ``VOCAB[(h + k*s + k*k*t) mod 67]``. All native, all codegen.
-Each function has a DuckDB twin (``*_sql``).
+constant arrays, and sentences are slices of a constant word stream at per-row offsets.
+All native and inside whole-stage codegen. Each function has a DuckDB twin (``*_sql``); twins
+that write sentences need ``TEXT_CTE_SQL`` in the WITH list and ``TEXT_JOIN_SQL`` after FROM.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spikeloom.functions import words as W
@@ -25,7 +25,10 @@ def _q(s: str) -> str:
 
 
 def _arr(ws) -> Column:
-    return F.array(*[F.lit(w) for w in ws])
+    """A constant string array: one literal split once at optimisation (constant folding), so
+    the plan holds a single array value however long the list is."""
+    assert not any("," in w for w in ws)
+    return F.split(F.lit(",".join(ws)), ",")
 
 
 def _arr_sql(ws) -> str:
@@ -56,28 +59,38 @@ def _cap_sql(s: str) -> str:
     return f"(upper(substr({s}, 1, 1)) || substr({s}, 2))"
 
 
-def _words(h: Column, s: Column, t: Column, first_k, n) -> Column:
-    """n words of the row's sequence starting at global word index first_k."""
-    return F.array_join(F.transform(
-        F.sequence(F.lit(0), (n - F.lit(1)).cast("int")),
-        lambda i: F.element_at(_arr(W.VOCAB), (F.pmod(
-            h + (first_k + i) * s + (first_k + i) * (first_k + i) * t, F.lit(V)) + F.lit(1)).cast("int"))),
-        " ")
+# Word stream: a constant array of BIG words built by a rule from VOCAB; a sentence is a slice of
+# it at a per-row offset, so text needs no lambda (higher-order functions run interpreted and
+# would re-hash per word) and stays inside whole-stage codegen.
+BIG = 4096
+_BIG_WORDS = tuple(W.VOCAB[(i * 37 + (i * i) % 89 * 11) % V] for i in range(BIG))
+_BIG_CAPS = tuple(w.capitalize() for w in _BIG_WORDS)
+# DuckDB builds the same arrays by the same rule, once, in a one-row CTE joined to the query
+TEXT_CTE_SQL = (
+    f"text_vocab AS (SELECT words, list_transform(words, lambda w: upper(substr(w, 1, 1)) || substr(w, 2)) AS caps "
+    f"FROM (SELECT list_transform(range(0, {BIG}), lambda i: "
+    f"({_arr_sql(W.VOCAB)})[((i * 37 + (i * i) % 89 * 11) % {V}) + 1]) AS words))")
+TEXT_JOIN_SQL = "CROSS JOIN text_vocab"
 
 
-def _words_sql(h: str, s: str, t: str, first_k: str, n: str) -> str:
-    k = f"(({first_k}) + i)"
-    return (f"array_to_string(list_transform(range(0, {n}), lambda i: "
-            f"({_arr_sql(W.VOCAB)})[((({h}) + {k} * ({s}) + {k} * {k} * ({t})) % {V}) + 1]), ' ')")
+def _start(h: Column, j: int) -> Column:
+    return F.pmod(h + F.lit(977 * j), F.lit(BIG - 16)) + F.lit(1)
 
 
-def _word_seq(d: Column):
-    """(h, s, t): start, stride (1..V-1) and curvature of a row's word sequence."""
-    return _hex(d, 13, 8), _hex(d, 21, 4) % F.lit(V - 1) + F.lit(1), _hex(d, 25, 4) % F.lit(V)
+def _start_sql(h: str, j: int) -> str:
+    return f"(((({h}) + {977 * j}) % {BIG - 16}) + 1)"
 
 
-def _word_seq_sql(d: str):
-    return (_hex_sql(d, 13, 8), f"({_hex_sql(d, 21, 4)} % {V - 1} + 1)", f"({_hex_sql(d, 25, 4)} % {V})")
+def _sentence(start: Column, n: Column, end: str = ".") -> Column:
+    """n >= 2 words from the stream at ``start``, first capitalised, then ``end``."""
+    return F.concat(F.element_at(_arr(_BIG_CAPS), start.cast("int")), F.lit(" "),
+                    F.array_join(F.slice(_arr(_BIG_WORDS), (start + 1).cast("int"), (n - 1).cast("int")), " "),
+                    F.lit(end))
+
+
+def _sentence_sql(start: str, n: str, end: str = ".") -> str:
+    return (f"(text_vocab.caps[{start}] || ' ' || array_to_string(list_slice(text_vocab.words, ({start}) + 1, "
+            f"({start}) + ({n}) - 1), ' ') || {_q(end)})")
 
 
 # --- C13 usernames ---------------------------------------------------------------------------
@@ -133,34 +146,50 @@ _TITLED = {
 }
 
 
-def make_title(seed: int, key) -> Column:
-    """Ten post kinds with equal odds, each with its title template."""
-    d = digest(seed, "title", key)
-    d2 = digest(seed, "title_words", key)
-    kind = F.floor(slice_uniform(d, 0) * F.lit(len(W.POST_KINDS)))
-    adj1, adj2 = _pick(W.ADJECTIVES, _hex(d, 13, 4)), _pick(W.ADJECTIVES, _hex(d, 17, 4))
-    concept, verb = _pick(W.CONCEPTS, _hex(d, 21, 4)), _pick(W.VERBS, _hex(d, 25, 4))
-    color, noun = _pick(W.COLORS, _hex(d, 29, 2)), _pick(W.NOUNS, _hex(d, 31, 2))
-    job = _pick(W.JOBS, _hex(d2, 1, 4))
-    h, s, t = _word_seq(d2)
+def _title_fields(d: Column, d2: Column) -> dict:
+    return {"kind": F.floor(slice_uniform(d, 0) * F.lit(len(W.POST_KINDS))),
+            "a1": _hex(d, 13, 4), "a2": _hex(d, 17, 4), "c": _hex(d, 21, 4), "v": _hex(d, 25, 4),
+            "col": _hex(d, 29, 2), "nn": _hex(d, 31, 2), "job": _hex(d2, 1, 4),
+            "h": _hex(d2, 5, 12), "pn": _hex(d2, 29, 4)}
+
+
+def _title_from(kind, a1, a2, c, v, col, nn, job, h, pn) -> Column:
+    adj1, adj2 = _pick(W.ADJECTIVES, a1), _pick(W.ADJECTIVES, a2)
+    concept, verb = _pick(W.CONCEPTS, c), _pick(W.VERBS, v)
+    color, noun = _pick(W.COLORS, col), _pick(W.NOUNS, nn)
+    job = _pick(W.JOBS, job)
     sp = F.lit(" ")
     catch = _cap(F.concat(adj1, sp, adj2, sp, concept))
     bs = F.concat(verb, sp, adj1, sp, concept)
-    bs_title = F.concat(_pick(_TITLED["VERBS"], _hex(d, 25, 4)), sp,
-                        _pick(_TITLED["ADJECTIVES"], _hex(d, 13, 4)), sp,
-                        _pick(_TITLED["CONCEPTS"], _hex(d, 21, 4)))
-    plain_n = F.pmod(_hex(d2, 29, 4), F.lit(5)) + F.lit(3)
+    bs_title = F.concat(_pick(_TITLED["VERBS"], v), sp, _pick(_TITLED["ADJECTIVES"], a1), sp,
+                        _pick(_TITLED["CONCEPTS"], c))
+    plain_n = F.pmod(pn, F.lit(5)) + F.lit(3)
+    st = _start(h, 0)
     return (F.when(kind == 2, F.concat(F.lit(W.TITLE_VIDEO), catch))
             .when(kind == 3, F.concat(F.lit(W.TITLE_PHOTO[0]), color, sp, noun, F.lit(W.TITLE_PHOTO[1])))
             .when(kind == 4, F.concat(F.lit(W.TITLE_LINK), bs_title))
-            .when(kind == 5, F.concat(F.lit(W.TITLE_QUESTION[0]),
-                                      _cap(_words(h, s, t, F.lit(0), F.lit(6))), F.lit(W.TITLE_QUESTION[1])))
+            .when(kind == 5, F.concat(F.lit(W.TITLE_QUESTION[0]), _sentence(st, F.lit(6), W.TITLE_QUESTION[1])))
             .when(kind == 6, F.concat(F.lit(W.TITLE_ACHIEVEMENT[0]), job, F.lit(W.TITLE_ACHIEVEMENT[1])))
             .when(kind == 7, F.concat(F.lit(W.TITLE_OPINION[0]), bs, F.lit(W.TITLE_OPINION[1])))
-            .when(kind == 8, F.concat(F.lit(W.TITLE_STORY), _cap(_words(h, s, t, F.lit(0), F.lit(8))), F.lit(".")))
+            .when(kind == 8, F.concat(F.lit(W.TITLE_STORY), _sentence(st, F.lit(8))))
             .when(kind == 9, F.concat(F.lit(W.TITLE_MEME[0]), job, F.lit(W.TITLE_MEME[1]), color, sp, noun,
                                       F.lit(W.TITLE_MEME[2])))
-            .otherwise(F.concat(_cap(_words(h, s, t, F.lit(0), plain_n)), F.lit("."))))
+            .otherwise(_sentence(st, plain_n)))
+
+
+def make_title(seed: int, key) -> Column:
+    """Ten post kinds with equal odds, each with its title template (`add_title` is the staged
+    fast path)."""
+    return _title_from(**_title_fields(digest(seed, "title", key), digest(seed, "title_words", key)))
+
+
+def add_title(df: DataFrame, seed: int, key: str, out: str = "title") -> DataFrame:
+    d1, d2 = f"__{out}_d1", f"__{out}_d2"
+    df = df.withColumn(d1, digest(seed, "title", key)).withColumn(d2, digest(seed, "title_words", key))
+    fields = _title_fields(F.col(d1), F.col(d2))
+    df = df.select("*", *[c.alias(f"__{out}_{k}") for k, c in fields.items()])
+    df = df.withColumn(out, _title_from(**{k: F.col(f"__{out}_{k}") for k in fields}))
+    return df.drop(d1, d2, *[f"__{out}_{k}" for k in fields])
 
 
 def make_title_sql(seed: int, key: str) -> str:
@@ -171,7 +200,7 @@ def make_title_sql(seed: int, key: str) -> str:
     concept, verb = _pick_sql(W.CONCEPTS, _hex_sql(d, 21, 4)), _pick_sql(W.VERBS, _hex_sql(d, 25, 4))
     color, noun = _pick_sql(W.COLORS, _hex_sql(d, 29, 2)), _pick_sql(W.NOUNS, _hex_sql(d, 31, 2))
     job = _pick_sql(W.JOBS, _hex_sql(d2, 1, 4))
-    h, s, t = _word_seq_sql(d2)
+    st = _start_sql(_hex_sql(d2, 5, 12), 0)
     catch = _cap_sql(f"({adj1} || ' ' || {adj2} || ' ' || {concept})")
     bs = f"({verb} || ' ' || {adj1} || ' ' || {concept})"
     bs_title = (f"({_pick_sql(_TITLED['VERBS'], _hex_sql(d, 25, 4))} || ' ' || "
@@ -181,45 +210,75 @@ def make_title_sql(seed: int, key: str) -> str:
     return (f"(CASE WHEN {kind} = 2 THEN {_q(W.TITLE_VIDEO)} || {catch} "
             f"WHEN {kind} = 3 THEN {_q(W.TITLE_PHOTO[0])} || {color} || ' ' || {noun} || {_q(W.TITLE_PHOTO[1])} "
             f"WHEN {kind} = 4 THEN {_q(W.TITLE_LINK)} || {bs_title} "
-            f"WHEN {kind} = 5 THEN {_q(W.TITLE_QUESTION[0])} || {_cap_sql(_words_sql(h, s, t, '0', '6'))} || {_q(W.TITLE_QUESTION[1])} "
+            f"WHEN {kind} = 5 THEN {_q(W.TITLE_QUESTION[0])} || {_sentence_sql(st, '6', W.TITLE_QUESTION[1])} "
             f"WHEN {kind} = 6 THEN {_q(W.TITLE_ACHIEVEMENT[0])} || {job} || {_q(W.TITLE_ACHIEVEMENT[1])} "
             f"WHEN {kind} = 7 THEN {_q(W.TITLE_OPINION[0])} || {bs} || {_q(W.TITLE_OPINION[1])} "
-            f"WHEN {kind} = 8 THEN {_q(W.TITLE_STORY)} || {_cap_sql(_words_sql(h, s, t, '0', '8'))} || '.' "
+            f"WHEN {kind} = 8 THEN {_q(W.TITLE_STORY)} || {_sentence_sql(st, '8')} "
             f"WHEN {kind} = 9 THEN {_q(W.TITLE_MEME[0])} || {job} || {_q(W.TITLE_MEME[1])} || {color} || ' ' || {noun} || {_q(W.TITLE_MEME[2])} "
-            f"ELSE {_cap_sql(_words_sql(h, s, t, '0', plain_n))} || '.' END)")
+            f"ELSE {_sentence_sql(st, plain_n)} END)")
 
 
 # --- C15 bodies ------------------------------------------------------------------------------
 
-def make_body(seed: int, key) -> Column:
-    """short 40 % (one sentence of 5..14 words), medium 40 % (2..3 sentences),
-    long 20 % (4..7 sentences); paragraph sentences have 4..10 words."""
-    d = digest(seed, "body", key)
-    u = slice_uniform(d, 0)
-    h, s, t = _word_seq(d)
-    x = _hex(d, 29, 4)
+MAX_SENTENCES = 7
+
+
+def _body_fields(d: Column) -> dict:
+    return {"u": slice_uniform(d, 0), "h": _hex(d, 13, 12), "x": _hex(d, 29, 4)}
+
+
+def _body_from(u: Column, h: Column, x: Column) -> Column:
     short = u < F.lit(0.4)
     n_sent = (F.when(short, F.lit(1)).when(u < F.lit(0.8), F.lit(2) + F.pmod(x, F.lit(2)))
               .otherwise(F.lit(4) + F.pmod(x, F.lit(4))))
-    short_len = F.lit(5) + F.pmod(x, F.lit(10))
+    parts = []
+    for j in range(MAX_SENTENCES):
+        n_other = F.lit(4) + F.pmod(x + F.lit(5 * j), F.lit(7))
+        n = F.when(short, F.lit(5) + F.pmod(x, F.lit(10))).otherwise(n_other) if j == 0 else n_other
+        sent = _sentence(_start(h, j), n)
+        parts.append(sent if j == 0 else F.when(n_sent > F.lit(j), sent))
+    return F.concat_ws(" ", *parts)
+
+
+def make_body(seed: int, key) -> Column:
+    """short 40 % (one sentence of 5..14 words), medium 40 % (2..3 sentences),
+    long 20 % (4..7 sentences); paragraph sentences have 4..10 words.
+
+    As one expression the digest is re-evaluated inside CASE branches; `add_body` stages it.
+    """
+    return _body_from(**_body_fields(digest(seed, "body", key)))
+
+
+def add_body(df: DataFrame, seed: int, key: str, out: str = "body") -> DataFrame:
+    """Fast path of `make_body`: digest, then its fields, then the text, as three projections
+    (each later one reads the earlier columns several times, so Catalyst keeps them apart and
+    every row hashes once)."""
+    return _staged(df, digest(seed, "body", key), _body_fields, _body_from, out)
 
-    def sentence(j):
-        n = F.when(short, short_len).otherwise(F.lit(4) + F.pmod(x + j * F.lit(5), F.lit(7)))
-        return F.concat(_cap(_words(h, s, t, j * F.lit(11), n)), F.lit("."))
 
-    return F.array_join(F.transform(F.sequence(F.lit(0), (n_sent - 1).cast("int")), sentence), " ")
+def _staged(df: DataFrame, d: Column, fields_fn, build_fn, out: str) -> DataFrame:
+    dn = f"__{out}_d"
+    df = df.withColumn(dn, d)
+    fields = fields_fn(F.col(dn))
+    df = df.select("*", *[c.alias(f"__{out}_{k}") for k, c in fields.items()])
+    df = df.withColumn(out, build_fn(**{k: F.col(f"__{out}_{k}") for k in fields}))
+    return df.drop(dn, *[f"__{out}_{k}" for k in fields])
 
 
 def make_body_sql(seed: int, key: str) -> str:
     d = digest_sql(seed, "body", key)
     u = slice_uniform_sql(d, 0)
-    h, s, t = _word_seq_sql(d)
+    h = _hex_sql(d, 13, 12)
     x = _hex_sql(d, 29, 4)
     short = f"({u} < 0.4)"
     n_sent = f"(CASE WHEN {short} THEN 1 WHEN {u} < 0.8 THEN 2 + {x} % 2 ELSE 4 + {x} % 4 END)"
-    n = f"(CASE WHEN {short} THEN 5 + {x} % 10 ELSE 4 + ({x} + j * 5) % 7 END)"
-    sentence = f"{_cap_sql(_words_sql(h, s, t, 'j * 11', n))} || '.'"
-    return f"array_to_string(list_transform(range(0, {n_sent}), lambda j: {sentence}), ' ')"
+    parts = []
+    for j in range(MAX_SENTENCES):
+        n_other = f"(4 + ({x} + {5 * j}) % 7)"
+        n = f"(CASE WHEN {short} THEN 5 + {x} % 10 ELSE {n_other} END)" if j == 0 else n_other
+        sent = _sentence_sql(_start_sql(h, j), n)
+        parts.append(sent if j == 0 else f"(CASE WHEN {n_sent} > {j} THEN {sent} END)")
+    return f"concat_ws(' ', {', '.join(parts)})"
 
 
 # --- C16 variant E texts with the rare viral post --------------------------------------------

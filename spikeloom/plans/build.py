@@ -1,0 +1,169 @@
+"""Builders: users, posts, follows for a viral-growth story, sized from input tables.
+
+Plan (variant E's intent, fixed per SURVEY X11-X18):
+  timeline  one row per day: period, curve value, users per day (exact total), posts per day
+  users     expand users per day (chunked) -> id = first id of the day + offset -> columns
+  posts     expand posts per registration day -> post day = day + 0..29 -> author drawn among
+            users joined by then (id arithmetic: users are numbered in day order) -> author's
+            join time by an FK lookup join -> text and status columns
+  follows   distinct power-law pairs -> 30 % mutual -> exact size -> time after both joined
+Shuffles: the chunk spread of each expansion (tiny), the author lookup, the edge dedupe and the
+two endpoint lookups. Nothing is sorted globally and nothing passes through the driver except
+per-day tables (bounded by the window length) and counts.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from spikeloom.functions.columns import growth_timestamp, second_of_day
+from spikeloom.functions.draws import (
+    digest, draw_categorical_by, draw_int, draw_uniform, power_law_id, slice_uniform)
+from spikeloom.functions.text import add_body, add_title, make_body_e, make_username, viral_flag
+from spikeloom.operators.edges import add_reciprocal, first_n_by, unique_edges
+from spikeloom.operators.timeline import (
+    day_source, expand_counts, period_col, rate_curve, scale_to_total, with_prefix)
+from spikeloom.params import GrowthParams
+from spikeloom.sources.tables import FOLLOWS_SCHEMA, POSTS_SCHEMA, USERS_SCHEMA, conform
+
+
+@dataclass(frozen=True)
+class Sizes:
+    users: int
+    posts: int
+    follows: int
+
+
+def sizes_from_tables(spark: SparkSession, sf_dir: str) -> Sizes:
+    """Stand-in sizes: users = customers, posts = orders, follows = 2 per user."""
+    from spikeloom.sources.tables import read_table
+    n_users = read_table(spark, sf_dir, "customer").count()
+    n_posts = read_table(spark, sf_dir, "orders").count()
+    return Sizes(n_users, n_posts, 2 * n_users)
+
+
+def posts_rate(day: Column, p: GrowthParams) -> Column:
+    """Posts per user by registration period, truncated to an integer (E)."""
+    tl = p.timeline
+    after = day - F.lit(tl.pre_days + tl.peak_days)
+    rate = (F.when(day < F.lit(tl.pre_days), F.lit(p.posts_rate_pre))
+            .when(day < F.lit(tl.pre_days + tl.peak_days), F.lit(p.posts_rate_peak))
+            .otherwise(F.lit(p.posts_rate_post) * F.exp(F.lit(-p.posts_decay) * after)))
+    return F.floor(rate).cast("bigint")
+
+
+def timeline_table(spark: SparkSession, p: GrowthParams, sizes: Sizes) -> DataFrame:
+    """Per-day plan (small): day, day_date, period, expected, n_users, u_start, n_posts, p_start,
+    u_through (users joined on or before the day)."""
+    tl = p.timeline
+    days = day_source(spark, tl.start, tl.n_days).withColumn("period", period_col(F.col("day"), tl))
+    days = rate_curve(days, tl)
+    days = scale_to_total(days, "expected", sizes.users, "day", "n_users")
+    days = with_prefix(days, "n_users", "day", "u_start")
+    days = days.withColumn("post_weight", (F.col("n_users") * posts_rate(F.col("day"), p)).cast("double"))
+    days = scale_to_total(days, "post_weight", sizes.posts, "day", "n_posts")
+    days = with_prefix(days, "n_posts", "day", "p_start")
+    return days.withColumn("u_through", F.col("u_start") + F.col("n_users"))
+
+
+def build_users(spark: SparkSession, p: GrowthParams, plan: DataFrame) -> DataFrame:
+    rows = expand_counts(plan.select("day", "day_date", "period", "n_users", "u_start"),
+                         "n_users", p.rows_per_chunk)
+    rows = rows.withColumn("id", F.col("u_start") + F.col("offset") + F.lit(p.id_base))
+    users = rows.select(
+        "id",
+        make_username(p.seed, "id").alias("username"),
+        draw_categorical_by(draw_uniform(p.seed, "role", "id"), "period", p.roles_by_period).alias("role"),
+        growth_timestamp(F.col("day_date"), F.lit(0), second_of_day(p.seed, "user_ts", "id")).alias("created_at"))
+    return conform(users, USERS_SCHEMA)
+
+
+def build_posts(spark: SparkSession, p: GrowthParams, plan: DataFrame, users: DataFrame) -> DataFrame:
+    tl = p.timeline
+    rows = expand_counts(plan.select("day", "n_posts", "p_start"), "n_posts", p.rows_per_chunk)
+    rows = rows.withColumn("id", F.col("p_start") + F.col("offset") + F.lit(p.id_base))
+    d = digest(p.seed, "post", "id")
+    rows = rows.withColumn("__d", d).select(
+        "id", (F.col("day") + draw_int(slice_uniform(F.col("__d"), 0), 0, p.post_shift_days)).alias("post_day"),
+        slice_uniform(F.col("__d"), 1).alias("__ua"))
+    # users joined on or before the post day, per day (small, broadcast); beyond the window: all
+    all_users = plan.agg(F.max("u_through")).scalar()
+    through = (day_source(spark, tl.start, tl.n_days + p.post_shift_days)
+               .join(F.broadcast(plan.select("day", "u_through")), "day", "left")
+               .select(F.col("day").alias("post_day"), F.col("day_date").alias("post_date"),
+                       F.coalesce(F.col("u_through"), all_users).alias("__N")))
+    rows = rows.join(F.broadcast(through), "post_day")
+    rows = rows.withColumn("user_id", (F.floor(F.col("__ua") * F.col("__N")) + F.lit(p.id_base)).cast("bigint"))
+    rows = rows.withColumn("__ts", growth_timestamp(F.col("post_date"), F.lit(0),
+                                                    second_of_day(p.seed, "post_ts", "id")))
+    # E5: the author's join time (shuffle join on the author key) so no post predates its author
+    authors = users.select(F.col("id").alias("user_id"), F.col("created_at").alias("__uts"))
+    rows = rows.join(authors, "user_id")
+    rows = rows.withColumn("created_at", F.greatest("__ts", "__uts"))
+    per = (F.when(F.col("created_at") < F.lit(str(tl.viral_start)).cast("timestamp_ntz"), F.lit("pre"))
+           .when(F.col("created_at") < F.lit(str(tl.peak_end)).cast("timestamp_ntz"), F.lit("peak"))
+           .otherwise(F.lit("post")))
+    rows = rows.withColumn("status", draw_categorical_by(draw_uniform(p.seed, "status", "id"), per,
+                                                         p.statuses_by_period))
+    rows = add_title(rows, p.seed, "id")
+    rows = add_body(rows, p.seed, "id", "__body")
+    rows = rows.withColumn("body", F.when(viral_flag(p.seed, "id"), make_body_e(p.seed, "id", F.lit(True)))
+                           .otherwise(F.col("__body")))
+    return conform(rows, POSTS_SCHEMA)
+
+
+def build_follows(spark: SparkSession, p: GrowthParams, users: DataFrame, sizes: Sizes) -> DataFrame:
+    q = p.reverse_fraction()
+    n = sizes.follows
+    want = max(1, int(round(n / (1.0 + q) * 1.05)) + 8)
+    for _ in range(8):
+        edges = unique_edges(
+            spark, want, sizes.users, p.seed, "follows",
+            lambda u: power_law_id(u, sizes.users, p.follower_k) + F.lit(p.id_base - 1),
+            lambda u: power_law_id(u, sizes.users, p.followed_k) + F.lit(p.id_base - 1))
+        both = add_reciprocal(edges, q, p.seed)
+        if both.count() >= n:
+            break
+        want = int(want * 1.5) + 8
+    both = first_n_by(both, "ekey", n)
+    ua = users.select(F.col("id").alias("a"), F.col("created_at").alias("__ta"))
+    ub = users.select(F.col("id").alias("b"), F.col("created_at").alias("__tb"))
+    e = both.join(ua, "a").join(ub, "b")
+    d = digest(p.seed, "follow_ts", "ekey")
+    e = e.withColumn("__d", d)
+    shift = draw_int(slice_uniform(F.col("__d"), 0), 0, p.follow_shift_days)
+    sec = F.floor(slice_uniform(F.col("__d"), 1) * F.lit(86400)).cast("bigint")
+    e = e.withColumn("created_at", growth_timestamp(F.greatest("__ta", "__tb"), shift, sec))
+    e = e.select(F.col("a").alias("following_user_id"), F.col("b").alias("followed_user_id"), "created_at")
+    return conform(e, FOLLOWS_SCHEMA)
+
+
+def build_all(spark: SparkSession, p: GrowthParams, sizes: Sizes, out_dir: str | None = None
+              ) -> dict[str, DataFrame]:
+    """All three tables. With ``out_dir`` (a shared path) users are written and read back before
+    posts and follows use them, as the source's plan does: lineage is cut and a lost executor
+    recomputes from files, not from the whole expansion."""
+    plan = timeline_table(spark, p, sizes)
+    users = build_users(spark, p, plan)
+    if out_dir:
+        users.write.mode("overwrite").parquet(f"{out_dir}/users")
+        users = spark.read.parquet(f"{out_dir}/users")
+    posts = build_posts(spark, p, plan, users)
+    follows = build_follows(spark, p, users, sizes)
+    if out_dir:
+        posts.write.mode("overwrite").parquet(f"{out_dir}/posts")
+        follows.write.mode("overwrite").parquet(f"{out_dir}/follows")
+        posts = spark.read.parquet(f"{out_dir}/posts")
+        follows = spark.read.parquet(f"{out_dir}/follows")
+    return {"users": users, "posts": posts, "follows": follows}
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Build the three tables sized from ``sf_dir`` and return the period report (K3)."""
+    from spikeloom.operators.growth import period_report
+    p = GrowthParams()
+    t = build_all(spark, p, sizes_from_tables(spark, sf_dir))
+    return period_report(t["users"], t["posts"], t["follows"], p.timeline)
