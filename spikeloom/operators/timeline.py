@@ -84,11 +84,11 @@ def scale_to_total(small: DataFrame, weight: str, n, key: str, out: str = "n_row
 def scale_to_total_sql(src: str, weight: str, n: str, key: str, out: str = "n_rows") -> str:
     """DuckDB twin; ``src`` is a table expression with ``weight`` and ``key``."""
     return f"""(SELECT * EXCLUDE (__w, __wsum, __wn, __floor, __rem, __deficit, __rank),
-        __floor + CAST(__rank <= __deficit AS BIGINT) AS {out}
-   FROM (SELECT *, {n} - sum(__floor) OVER () AS __deficit,
+        CAST(__floor + CAST(__rank <= __deficit AS BIGINT) AS BIGINT) AS {out}
+   FROM (SELECT *, CAST({n} - sum(__floor) OVER () AS BIGINT) AS __deficit,
                 row_number() OVER (ORDER BY __rem DESC, {key}) AS __rank
            FROM (SELECT *, __wn // __wsum AS __floor, __wn % __wsum AS __rem
-                   FROM (SELECT *, sum(__w) OVER () AS __wsum, __w * {n} AS __wn
+                   FROM (SELECT *, CAST(sum(__w) OVER () AS BIGINT) AS __wsum, __w * {n} AS __wn
                            FROM (SELECT *, CAST(round({weight} * {WEIGHT_SCALE}) AS BIGINT) AS __w
                                    FROM {src})))))"""
 

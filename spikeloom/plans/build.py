@@ -14,6 +14,7 @@ per-day tables (bounded by the window length) and counts.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -115,10 +116,19 @@ def build_posts(spark: SparkSession, p: GrowthParams, plan: DataFrame, users: Da
     return conform(rows, POSTS_SCHEMA)
 
 
+def edges_wanted(n: int, q: float) -> int:
+    """One-way edges to ask for so that, with q of them reversed, at least n rows result."""
+    return int(math.floor(n / (1.0 + q) * 1.05 + 0.5)) + 8
+
+
+def edges_wanted_sql(n: str, q: float) -> str:
+    return f"(CAST(floor(({n}) / (1.0 + {q!r}) * 1.05 + 0.5) AS BIGINT) + 8)"
+
+
 def build_follows(spark: SparkSession, p: GrowthParams, users: DataFrame, sizes: Sizes) -> DataFrame:
     q = p.reverse_fraction()
     n = sizes.follows
-    want = max(1, int(round(n / (1.0 + q) * 1.05)) + 8)
+    want = edges_wanted(n, q)
     for _ in range(8):
         edges = unique_edges(
             spark, want, sizes.users, p.seed, "follows",

@@ -1,0 +1,111 @@
+"""DuckDB twins of the builders, as WITH-list text (the oracle for build_* and reports).
+
+`builder_ctes(p, n_users, n_posts, n_follows)` returns CTE definitions named plan, users,
+posts, follows over the driver views; sizes are SQL scalar expressions.
+"""
+
+from __future__ import annotations
+
+from spikeloom.functions import draws as D
+from spikeloom.functions import text as X
+from spikeloom.functions.columns import second_of_day_sql
+from spikeloom.operators.timeline import period_sql, rate_curve_sql, scale_to_total_sql
+from spikeloom.params import GrowthParams
+
+
+def _prefix(col: str, order: str) -> str:
+    return f"CAST(coalesce(sum({col}) OVER (ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT)"
+
+
+def _posts_rate_sql(day: str, p: GrowthParams) -> str:
+    tl = p.timeline
+    return (f"CAST(floor(CASE WHEN {day} < {tl.pre_days} THEN {p.posts_rate_pre!r} "
+            f"WHEN {day} < {tl.pre_days + tl.peak_days} THEN {p.posts_rate_peak!r} "
+            f"ELSE {p.posts_rate_post!r} * exp({-p.posts_decay!r} * ({day} - {tl.pre_days + tl.peak_days})) END)"
+            f" AS BIGINT)")
+
+
+def builder_ctes(p: GrowthParams, n_users: str, n_posts: str, n_follows_edges: str | None = None,
+                 n_follows: str | None = None, with_follows: bool = True) -> str:
+    tl, s, b = p.timeline, p.seed, p.id_base
+    start = str(tl.start)
+    ctes = [
+        f"""days AS (SELECT range AS day, CAST(DATE '{start}' + CAST(range AS INTEGER) AS TIMESTAMP) AS day_date,
+                {period_sql('range', tl)} AS period, {rate_curve_sql('range', tl)} AS expected
+         FROM range(0, {tl.n_days}))""",
+        f"d_users AS {scale_to_total_sql('days', 'expected', f'({n_users})', 'day', 'n_users')}",
+        f"""d_users2 AS (SELECT *, {_prefix('n_users', 'day')} AS u_start,
+                CAST(n_users * {_posts_rate_sql('day', p)} AS DOUBLE) AS post_weight FROM d_users)""",
+        f"d_posts AS {scale_to_total_sql('d_users2', 'post_weight', f'({n_posts})', 'day', 'n_posts')}",
+        f"""plan AS (SELECT *, {_prefix('n_posts', 'day')} AS p_start, u_start + n_users AS u_through
+         FROM d_posts)""",
+        f"""u_rows AS (SELECT u_start + k_off + {b} AS id, day, day_date, period
+         FROM (SELECT *, unnest(range(0, n_users)) AS k_off FROM plan WHERE n_users > 0))""",
+        f"""users AS (SELECT id, {X.make_username_sql(s, 'id')} AS username,
+                {D.draw_categorical_by_sql(D.draw_uniform_sql(s, 'role', 'id'), 'period', p.roles_by_period)} AS role,
+                day_date + INTERVAL ({second_of_day_sql(s, 'user_ts', 'id')}) SECOND AS created_at
+         FROM u_rows)""",
+        X.TEXT_CTE_SQL,
+        f"""p_rows AS (SELECT p_start + k_off + {b} AS id, day
+         FROM (SELECT *, unnest(range(0, n_posts)) AS k_off FROM plan WHERE n_posts > 0))""",
+        f"""p_days AS (SELECT id, day + {D.draw_int_sql(D.slice_uniform_sql(D.digest_sql(s, 'post', 'id'), 0), 0, p.post_shift_days)} AS post_day,
+                {D.slice_uniform_sql(D.digest_sql(s, 'post', 'id'), 1)} AS ua FROM p_rows)""",
+        f"""through AS (SELECT r.range AS post_day, CAST(DATE '{start}' + CAST(r.range AS INTEGER) AS TIMESTAMP) AS post_date,
+                coalesce(pl.u_through, (SELECT max(u_through) FROM plan)) AS big_n
+         FROM range(0, {tl.n_days + p.post_shift_days}) r LEFT JOIN plan pl ON pl.day = r.range)""",
+        f"""p_auth AS (SELECT pd.id, CAST(floor(ua * big_n) + {b} AS BIGINT) AS user_id,
+                post_date + INTERVAL ({second_of_day_sql(s, 'post_ts', 'pd.id')}) SECOND AS ts
+         FROM p_days pd JOIN through USING (post_day))""",
+        f"""p_join AS (SELECT pa.id, pa.user_id, greatest(pa.ts, u.created_at) AS created_at
+         FROM p_auth pa JOIN users u ON u.id = pa.user_id)""",
+        f"""posts AS (SELECT id, {X.make_title_sql(s, 'id')} AS title,
+                CASE WHEN {X.viral_flag_sql(s, 'id')} THEN {X.make_body_e_sql(s, 'id', 'TRUE')}
+                     ELSE {X.make_body_sql(s, 'id')} END AS body,
+                user_id,
+                {D.draw_categorical_by_sql(D.draw_uniform_sql(s, 'status', 'id'), _period_ts_sql('created_at', p), p.statuses_by_period)} AS status,
+                created_at
+         FROM p_join {X.TEXT_JOIN_SQL})""",
+    ]
+    if with_follows:
+        ctes += follows_ctes(p, n_users, n_follows_edges, n_follows)
+    return ",\n".join(ctes)
+
+
+def _period_ts_sql(ts: str, p: GrowthParams) -> str:
+    tl = p.timeline
+    return (f"(CASE WHEN {ts} < TIMESTAMP '{tl.viral_start}' THEN 'pre' "
+            f"WHEN {ts} < TIMESTAMP '{tl.peak_end}' THEN 'peak' ELSE 'post' END)")
+
+
+def unique_edges_ctes(name: str, seed: int, tag: str, n_edges: str, n_nodes: str, k_a: float,
+                      k_b: float, base: int, cand_factor: int = 64) -> list[str]:
+    """Candidates 1..cand_factor*n (enough for the Spark side's doubling), first n distinct pairs."""
+    d = D.digest_sql(seed, tag, "cid")
+    pa = D.power_law_id_sql(D.slice_uniform_sql(d, 0), f"({n_nodes})", k_a)
+    pb = D.power_law_id_sql(D.slice_uniform_sql(d, 1), f"({n_nodes})", k_b)
+    return [
+        f"""{name}_cand AS (SELECT cid, {pa} + {base - 1} AS a, {pb} + {base - 1} AS b
+         FROM (SELECT unnest(range(1, {cand_factor} * ({n_edges}) + 1)) AS cid))""",
+        f"""{name} AS (SELECT a, b, min(cid) AS cid FROM {name}_cand WHERE a <> b GROUP BY a, b
+         ORDER BY cid LIMIT ({n_edges}))""",
+    ]
+
+
+def follows_ctes(p: GrowthParams, n_users: str, n_edges: str, n_follows: str) -> list[str]:
+    s, q = p.seed, p.reverse_fraction()
+    ctes = unique_edges_ctes("f_edges", s, "follows", n_edges, n_users, p.follower_k, p.followed_k, p.id_base)
+    ctes += [
+        f"""f_one AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY least(a, b), greatest(a, b)
+                ORDER BY cid) AS r FROM f_edges) WHERE r = 1)""",
+        f"""f_both AS (SELECT a, b, cid, cid * 2 AS ekey FROM f_one
+         UNION ALL SELECT b AS a, a AS b, cid, cid * 2 + 1 AS ekey FROM f_one
+                   WHERE {D.draw_uniform_sql(s, 'reverse', 'cid')} < {q!r})""",
+        f"f_first AS (SELECT * FROM f_both ORDER BY ekey LIMIT ({n_follows}))",
+        f"""follows AS (SELECT e.a AS following_user_id, e.b AS followed_user_id,
+                greatest(ua.created_at, ub.created_at)
+                + INTERVAL ({D.draw_int_sql(D.slice_uniform_sql(D.digest_sql(s, 'follow_ts', 'e.ekey'), 0), 0, p.follow_shift_days)}) DAY
+                + INTERVAL (CAST(floor({D.slice_uniform_sql(D.digest_sql(s, 'follow_ts', 'e.ekey'), 1)} * 86400) AS BIGINT)) SECOND
+                AS created_at
+         FROM f_first e JOIN users ua ON ua.id = e.a JOIN users ub ON ub.id = e.b)""",
+    ]
+    return ctes
