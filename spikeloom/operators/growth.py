@@ -152,9 +152,9 @@ def network_effect(users: DataFrame, user_ts: str, follows: DataFrame, follow_ts
     w = Window.partitionBy(F.lit(0)).orderBy("day")
     return d.select(
         "day", "new_users", "new_follows",
-        F.round(F.col("new_follows") / F.col("new_users"), 6).alias("follows_per_user"),
-        F.round(F.col("new_users") / F.lag("new_users").over(w), 6).alias("user_growth"),
-        F.round(F.col("new_follows") / F.lag("new_follows").over(w), 6).alias("follow_growth"))
+        F.round(F.try_divide(F.col("new_follows"), F.col("new_users")), 6).alias("follows_per_user"),
+        F.round(F.try_divide(F.col("new_users"), F.lag("new_users").over(w)), 6).alias("user_growth"),
+        F.round(F.try_divide(F.col("new_follows"), F.lag("new_follows").over(w)), 6).alias("follow_growth"))
 
 
 def influence_share(edges: DataFrame, dst: str, top: float = 0.2, n_nodes=None) -> DataFrame:
