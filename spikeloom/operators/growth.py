@@ -14,7 +14,10 @@ from pyspark.sql import functions as F
 
 from spikeloom.params import Timeline
 
-ONE = Window.partitionBy(F.lit(0))
+
+def _one():
+    """The whole (small) table as one window partition."""
+    return Window.partitionBy(F.lit(0))
 
 
 def _ts(x) -> Column:
@@ -56,8 +59,10 @@ def period_report(users: DataFrame, posts: DataFrame, follows: DataFrame, tl: Ti
     means = period_means(users, ts, ps, pe)
     names = {"pre": "DAILY_REGISTRATIONS_PRE_VIRAL", "peak": "DAILY_REGISTRATIONS_VIRAL_PEAK",
              "post": "DAILY_REGISTRATIONS_POST_VIRAL"}
-    m = means.select(F.element_at(F.create_map(*[x for k, v in names.items() for x in (F.lit(k), F.lit(v))]),
-                                  F.col("period")).alias("metric"), F.col("per_day").alias("value"))
+    spark = users.sparkSession
+    labels = spark.createDataFrame(list(names.items()), "period string, metric string")
+    # every period is reported, with a null mean when nobody joined in it
+    m = F.broadcast(labels).join(means, "period", "left").select("metric", F.col("per_day").alias("value"))
     n_users = users.agg(F.count(F.lit(1)).alias("v"))
     n_posts = posts.agg(F.count(F.lit(1)).alias("v"))
     n_follows = follows.agg(F.count(F.lit(1)).alias("v"))
@@ -138,7 +143,7 @@ def content_virality(posts: DataFrame, author: str, ts: str, peak_start: str, pe
     per = (p.groupBy("period", "__a").agg(F.count(F.lit(1)).alias("__n"))
            .groupBy("period").agg(F.sum("__n").alias("posts"), F.count(F.lit(1)).alias("authors")))
     per = per.withColumn("posts_per_author", F.col("posts") / F.col("authors"))
-    base = F.max(F.when(F.col("period") == "pre", F.col("posts_per_author"))).over(ONE)
+    base = F.max(F.when(F.col("period") == "pre", F.col("posts_per_author"))).over(_one())
     return per.select("period", "posts", "authors", F.round("posts_per_author", 6).alias("posts_per_author"),
                       F.round(F.col("posts_per_author") / base, 6).alias("virality"))
 
