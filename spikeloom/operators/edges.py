@@ -77,15 +77,22 @@ def unique_edges(spark: SparkSession, n: int, n_nodes: int, seed: int, tag: str,
     """
     if n > n_nodes * (n_nodes - 1):
         raise ValueError(f"{n} edges requested but only {n_nodes * (n_nodes - 1)} pairs exist")
+    from spikeloom.session import checkpoint_dir
+    checkpoint_dir(spark)
     m = max(16, int(math.ceil(n * oversample)))
-    for _ in range(max_rounds + 1):
-        parts = max(1, math.ceil(m / rows_per_part))
-        pairs = distinct_pairs(candidate_pairs(spark, m, seed, tag, pick_a, pick_b, parts))
+    limit = m << max_rounds
+    cores = spark.sparkContext.defaultParallelism
+    while True:
+        parts = max(cores, math.ceil(m / rows_per_part))
+        # checkpointed (reliable storage): the count and the cut below read files, not lineage
+        pairs = distinct_pairs(candidate_pairs(spark, m, seed, tag, pick_a, pick_b, parts)).checkpoint()
         have = pairs.count()
         if have >= n:
             return first_n_by(pairs, "cid", n)
-        m *= 2
-    raise ValueError(f"only {have} distinct pairs from {m // 2} candidates; flatten the skew")
+        if m >= limit:
+            raise ValueError(f"only {have} distinct pairs from {m} candidates; flatten the skew")
+        # grow by the observed yield (at least doubling), never past the bound
+        m = min(limit, max(2 * m, int(math.ceil(m * n / max(have, 1) * 1.25))))
 
 
 def add_reciprocal(edges: DataFrame, q: float, seed: int, tag: str = "reverse",

@@ -104,16 +104,20 @@ def expand_counts(small: DataFrame, count: str, chunk_rows: int, offset: str = "
     """Each row of ``small`` becomes ``count`` rows numbered ``offset`` 0..count-1.
 
     Rows with a large count are first cut into chunks of at most ``chunk_rows`` (a tiny table),
-    the chunks are spread round-robin over ``partitions`` tasks, and only then expanded: a day
-    that holds a third of all rows is generated by many tasks at once. Rows with count 0 vanish.
+    the chunks are spread round-robin over ``partitions`` tasks (default: one per chunk, at
+    least the cluster's parallelism when there are that many chunks), and only then expanded:
+    a day that holds a third of all rows is generated by many tasks at once. Count 0 vanishes.
     """
     c = F.col(count)
-    chunks = (small.where(c > 0)
-              .withColumn("__chunk", F.explode(F.sequence(
-                  F.lit(0).cast("bigint"), ((c - 1) / F.lit(chunk_rows)).cast("bigint")))))
     if partitions is None:
         total = small.agg(F.sum(count)).first()[0] or 0
+        cores = small.sparkSession.sparkContext.defaultParallelism
+        # at least one chunk per core, never more than chunk_rows rows in one
+        chunk_rows = max(1, min(chunk_rows, math.ceil(total / cores))) if total else chunk_rows
         partitions = max(1, math.ceil(total / chunk_rows))
+    chunks = (small.where(c > 0)
+              .withColumn("__chunk", F.explode(F.sequence(
+                  F.lit(0).cast("bigint"), ((c - 1) / F.lit(chunk_rows)).cast("bigint")))))
     chunks = chunks.repartition(int(partitions))
     lo = F.col("__chunk") * F.lit(chunk_rows)
     hi = F.least(lo + F.lit(chunk_rows), c) - F.lit(1)

@@ -92,7 +92,7 @@ class GrowthParams:
     followed_k: float = POWER_LAW_80_20
     mutual_share: float = 0.30
     # rows one task expands or numbers; hot days are split into chunks of this size
-    rows_per_chunk: int = 1_000_000
+    rows_per_chunk: int = 250_000
 
     def reverse_fraction(self) -> float:
         """q such that reversing q of the one-way edges makes `mutual_share` of rows mutual."""

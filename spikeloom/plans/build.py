@@ -67,7 +67,12 @@ def timeline_table(spark: SparkSession, p: GrowthParams, sizes: Sizes) -> DataFr
     days = days.withColumn("post_weight", (F.col("n_users") * posts_rate(F.col("day"), p)).cast("double"))
     days = scale_to_total(days, "post_weight", sizes.posts, "day", "n_posts")
     days = with_prefix(days, "n_posts", "day", "p_start")
-    return days.withColumn("u_through", F.col("u_start") + F.col("n_users"))
+    days = days.withColumn("u_through", F.col("u_start") + F.col("n_users"))
+    # the plan (one row per day) is read by every later step: store it once in the shared
+    # checkpoint folder instead of re-running its windows for each action
+    from spikeloom.session import checkpoint_dir
+    checkpoint_dir(spark)
+    return days.checkpoint()
 
 
 def build_users(spark: SparkSession, p: GrowthParams, plan: DataFrame) -> DataFrame:
@@ -126,6 +131,8 @@ def edges_wanted_sql(n: str, q: float) -> str:
 
 
 def build_follows(spark: SparkSession, p: GrowthParams, users: DataFrame, sizes: Sizes) -> DataFrame:
+    from spikeloom.session import checkpoint_dir
+    checkpoint_dir(spark)
     q = p.reverse_fraction()
     n = sizes.follows
     want = edges_wanted(n, q)
@@ -134,7 +141,7 @@ def build_follows(spark: SparkSession, p: GrowthParams, users: DataFrame, sizes:
             spark, want, sizes.users, p.seed, "follows",
             lambda u: power_law_id(u, sizes.users, p.follower_k) + F.lit(p.id_base - 1),
             lambda u: power_law_id(u, sizes.users, p.followed_k) + F.lit(p.id_base - 1))
-        both = add_reciprocal(edges, q, p.seed)
+        both = add_reciprocal(edges, q, p.seed).checkpoint()
         if both.count() >= n:
             break
         want = int(want * 1.5) + 8

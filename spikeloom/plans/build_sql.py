@@ -78,7 +78,7 @@ def _period_ts_sql(ts: str, p: GrowthParams) -> str:
 
 
 def unique_edges_ctes(name: str, seed: int, tag: str, n_edges: str, n_nodes: str, k_a: float,
-                      k_b: float, base: int, cand_factor: int = 64) -> list[str]:
+                      k_b: float, base: int, cand_factor: int = 256) -> list[str]:
     """Candidates 1..cand_factor*n (enough for the Spark side's doubling), first n distinct pairs."""
     d = D.digest_sql(seed, tag, "cid")
     pa = D.power_law_id_sql(D.slice_uniform_sql(d, 0), f"({n_nodes})", k_a)
