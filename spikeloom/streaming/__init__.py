@@ -1,0 +1,5 @@
+"""Streaming: intentionally empty.
+
+The source defines no stream, watermark, window-over-time or stateful operator (it turns
+incremental generation off and overwrites tables), so there is nothing to rebuild here.
+"""
