@@ -25,13 +25,15 @@ LOCAL_CONF = {
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app: str = "spikeloom") -> SparkSession:
+                app: str = "spikeloom", extra_conf: dict | None = None) -> SparkSession:
     cpus = os.environ.get("BENCH_CPUS", "8")
     builder = SparkSession.builder.master(master or f"local[{cpus}]").appName(app)
     for k, v in LOCAL_CONF.items():
         builder = builder.config(k, v)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
     builder = builder.config("spark.driver.memory", os.environ.get("SPIKELOOM_DRIVER_MEM", "16g"))
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)

@@ -8,8 +8,11 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
     from spikeloom.session import get_session
-    s = get_session(master="local[4]", shuffle_partitions=8)
+    wh = tempfile.mkdtemp(prefix="spikeloom-wh-", dir="/tmp")
+    s = get_session(master="local[4]", shuffle_partitions=8,
+                    extra_conf={"spark.sql.warehouse.dir": wh})
     yield s
 
 
