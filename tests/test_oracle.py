@@ -4,11 +4,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from spikeloom.plans.registry import ORACLES as SQL
+from spikeloom.plans.registry import QUERIES, load_all
 from tests.conftest import SF_SMALL
 from tools.oracle_check import TABLES, digest
 
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+load_all()
 
 
 @pytest.fixture(scope="module")
