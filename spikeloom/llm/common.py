@@ -44,3 +44,12 @@ def cut(df: DataFrame) -> DataFrame:
     """The frame, computed once and kept in the shared checkpoint folder."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+ROW_KEYS = ("__row_key_1", "__row_key_2")
+
+
+def row_keys(docs: DataFrame) -> DataFrame:
+    """Adds two hashes over id and text: 128 bits that tell rows apart, never null."""
+    one = F.xxhash64("doc_id", "text")
+    return docs.withColumn(ROW_KEYS[0], one).withColumn(ROW_KEYS[1], F.xxhash64(F.lit(1), "text", "doc_id"))

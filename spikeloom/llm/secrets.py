@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spikeloom.llm.common import cut, table, text_of
+from spikeloom.llm.common import ROW_KEYS, cut, row_keys, table, text_of
 
 # fixed values: kinds in order, pattern, group that holds the value, least length of that group
 KINDS = (
@@ -123,6 +123,13 @@ def scan_corpus(docs: DataFrame, text_col: str = "text", owner: str = "source",
     return out.drop("__row", "__repo")
 
 
+def without_live(docs: DataFrame, p: Ownership = Ownership()) -> DataFrame:
+    """Documents that hold no live credential, all columns kept."""
+    keyed = row_keys(docs)
+    found = scan_corpus(keyed.select(*ROW_KEYS, "text", "source", "lang"), p=p).where("n_live > 0")
+    return keyed.join(found.select(*ROW_KEYS), list(ROW_KEYS), "left_anti").drop(*ROW_KEYS)
+
+
 def op4(spark, sf_dir):
     out = scan_corpus(table(spark, sf_dir, "documents", "doc_id", "text", "source", "lang"))
     kinds = F.transform("found", lambda s: s["kind"])
