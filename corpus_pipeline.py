@@ -13,7 +13,7 @@ from spikeloom.llm import decontam, neardup, packing, quality, secrets
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no rule rejects."""
-    return quality.judge(docs).where("kept").select(*docs.columns)
+    return quality.passing(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

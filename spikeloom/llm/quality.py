@@ -127,6 +127,14 @@ def judge(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return apply_rules(quality_signals(docs, text_col))
 
 
+def passing(docs: DataFrame) -> DataFrame:
+    """The texts no rule rejects, all columns kept. The row number (never below 0) keeps the
+    optimizer from moving the filter below the projections, where it would expand every signal
+    into every place that uses it."""
+    verdict = F.col("kept") & (F.monotonically_increasing_id() >= 0)
+    return judge(docs).withColumn("__passes", verdict).where("__passes").select(*docs.columns)
+
+
 def op6(spark, sf_dir):
     from spikeloom.llm.common import table
     out = judge(table(spark, sf_dir, "documents", "doc_id", "text"))
