@@ -25,9 +25,7 @@ USER_DAYS = ((0.30, 0, 60), (0.20, 105, 180), (0.30, 60, 75), (0.20, 75, 105))
 POST_DAYS = ((0.20, 0, 60), (0.20, 105, 180), (0.20, 60, 75), (0.20, 75, 105), (0.20, 0, 180))
 FOLLOW_DAYS = ((0.15, 0, 60), (0.15, 105, 180), (0.20, 60, 75), (0.20, 75, 105), (0.30, 0, 180))
 # the plan's daily rates: baseline days 0-59, viral 60-74, adjustment 75-104, new normal 105-179
-USER_RATES = ((0, 60, 250.0), (60, 75, 1500.0), (75, 105, 500.0), (105, 180, 500.0))
 POST_RATES = ((0, 60, 1500.0), (60, 75, 15000.0), (75, 105, 3000.0), (105, 180, 3000.0))
-FOLLOW_RATES = ((0, 60, 80.0), (60, 75, 400.0), (75, 105, 120.0), (105, 180, 120.0))
 WINDOW_START = "2025-07-05 00:00:00"   # fixed anchor: 180 days before 2026-01-01
 # ----------------------------------------------------------------------------------------------
 

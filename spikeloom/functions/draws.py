@@ -106,22 +106,16 @@ def draw_categorical_sql(u: str, choices: Sequence[tuple[str, float]]) -> str:
 
 
 def draw_categorical_by(u, key, table: dict) -> Column:
-    """Weights that change with ``key`` (a period name): one categorical per key value."""
+    """Weights that change with ``key`` (a period name): one categorical per key value. A null key,
+    or one that the table doesn't have, gives null."""
     key = _c(key)
-    items = list(table.items())
-    expr = None
-    for k, choices in items[:-1]:
-        c = draw_categorical(u, choices)
-        expr = F.when(key == F.lit(k), c) if expr is None else expr.when(key == F.lit(k), c)
-    last = draw_categorical(u, items[-1][1])
-    return last if expr is None else expr.otherwise(last)
+    picks = [F.when(key == F.lit(k), draw_categorical(u, choices)) for k, choices in table.items()]
+    return F.coalesce(*picks)
 
 
 def draw_categorical_by_sql(u: str, key: str, table: dict) -> str:
-    items = list(table.items())
-    whens = " ".join(f"WHEN {key} = {_sql_lit(k)} THEN {draw_categorical_sql(u, ch)}"
-                     for k, ch in items[:-1])
-    return f"(CASE {whens} ELSE {draw_categorical_sql(u, items[-1][1])} END)"
+    whens = " ".join(f"WHEN {key} = {_sql_lit(k)} THEN {draw_categorical_sql(u, ch)}" for k, ch in table.items())
+    return f"(CASE {whens} END)"
 
 
 # --- C5 integer ------------------------------------------------------------------------------
@@ -149,51 +143,50 @@ def bernoulli_sql(u: str, p) -> str:
 
 # --- C8 / C9 skewed ids ----------------------------------------------------------------------
 
-def power_law_id(u, n, k: float) -> Column:
-    """``floor(n * (1 - u^k)) + 1`` clamped to [1, n]; large k puts most mass on high ids."""
+def power_law_id(u, n, k: float, base: int = 1) -> Column:
+    """``floor(n * (1 - u^k))`` clamped to [0, n - 1], plus ``base``, for keys base .. base + n - 1;
+    large k puts most mass on high ids."""
     n_c = n if isinstance(n, Column) else F.lit(n)
-    raw = F.floor(n_c * (F.lit(1.0) - F.pow(_c(u), F.lit(float(k))))) + F.lit(1)
-    return F.least(F.greatest(raw, F.lit(1)), n_c).cast("bigint")
+    raw = F.floor(n_c * (F.lit(1.0) - F.pow(_c(u), F.lit(float(k)))))
+    return (F.least(F.greatest(raw, F.lit(0)), n_c - F.lit(1)) + F.lit(base)).cast("bigint")
 
 
-def power_law_id_sql(u: str, n, k: float) -> str:
-    return (f"CAST(least(greatest(floor(({n}) * (1.0 - pow({u}, {float(k)!r}))) + 1, 1), ({n}))"
+def power_law_id_sql(u: str, n, k: float, base: int = 1) -> str:
+    return (f"CAST(least(greatest(floor(({n}) * (1.0 - pow({u}, {float(k)!r}))), 0), ({n}) - 1) + {base}"
             f" AS BIGINT)")
 
 
-def exponential_id(u1, u2, n, a: float, b: float) -> Column:
-    """Variant A's rank: ``int(E(a)) mod n`` minus ``E(b)``, floored at 0, capped at n-1, plus 1.
-
-    Heavy at id 1 for the source's scales (X5); offered with the same formula.
-    """
+def exponential_id(u1, u2, n, a, b, base: int = 1) -> Column:
+    """A key of base .. base + n - 1: an exponential of mean ``a``, wrapped at n, less an
+    exponential of mean ``b``, not below the first key. Choose a and b as fractions of n: with
+    small fixed means nearly all draws fall on the first keys (X5)."""
     n_c = n if isinstance(n, Column) else F.lit(n)
-    e_a = F.lit(-float(a)) * F.log(F.lit(1.0) - _c(u1))
-    e_b = F.lit(-float(b)) * F.log(F.lit(1.0) - _c(u2))
-    rank = F.pmod(F.floor(e_a), n_c)
-    biased = F.greatest(F.lit(0.0), rank - e_b)
-    return (F.least(n_c - F.lit(1), F.floor(biased)) + F.lit(1)).cast("bigint")
+    ahead = F.pmod(F.floor(-F.log(F.lit(1.0) - _c(u1)) * a), n_c)
+    back = -F.log(F.lit(1.0) - _c(u2)) * b
+    return (F.greatest(ahead - F.floor(back), F.lit(0)) + F.lit(base)).cast("bigint")
 
 
-def exponential_id_sql(u1: str, u2: str, n, a: float, b: float) -> str:
-    e_a = f"(-{float(a)!r} * ln(1.0 - {u1}))"
-    e_b = f"(-{float(b)!r} * ln(1.0 - {u2}))"
-    rank = f"((CAST(floor({e_a}) AS BIGINT) % ({n}) + ({n})) % ({n}))"
-    return f"CAST(least(({n}) - 1, floor(greatest(0.0, {rank} - {e_b}))) + 1 AS BIGINT)"
+def exponential_id_sql(u1: str, u2: str, n, a, b, base: int = 1) -> str:
+    """``a`` and ``b`` are numbers or SQL scalars."""
+    ahead = f"(CAST(floor(-ln(1.0 - {u1}) * ({a})) AS BIGINT) % ({n}))"
+    return f"CAST(greatest({ahead} - CAST(floor(-ln(1.0 - {u2}) * ({b})) AS BIGINT), 0) + {base} AS BIGINT)"
 
 
 # --- C10 avoid self --------------------------------------------------------------------------
 
-def avoid_self(a, candidates: Iterable[Column], n) -> Column:
-    """First candidate different from ``a``; if all equal ``a``, ``a mod n + 1`` (variant A)."""
+def avoid_self(a, candidates: Iterable[Column], n, base: int = 1) -> Column:
+    """First candidate different from ``a``; if all equal ``a``, the next key of base .. base + n - 1.
+    With a single key there is no other: null."""
     a = _c(a)
     n_c = n if isinstance(n, Column) else F.lit(n)
     picks = [F.when(c != a, c) for c in candidates]
-    return F.coalesce(*picks, F.pmod(a, n_c) + F.lit(1)).cast("bigint")
+    after = F.pmod(a - F.lit(base) + F.lit(1), n_c) + F.lit(base)
+    return F.coalesce(*picks, F.when(n_c > 1, after)).cast("bigint")
 
 
-def avoid_self_sql(a: str, candidates: Iterable[str], n) -> str:
+def avoid_self_sql(a: str, candidates: Iterable[str], n, base: int = 1) -> str:
     picks = [f"CASE WHEN ({c}) <> {a} THEN ({c}) END" for c in candidates]
-    return f"CAST(coalesce({', '.join(picks)}, ({a}) % ({n}) + 1) AS BIGINT)"
+    return f"CAST(coalesce({', '.join(picks)}, CASE WHEN ({n}) > 1 THEN (({a}) - {base} + 1) % ({n}) + {base} END) AS BIGINT)"
 
 
 # --- C11 / C12 foreign keys ------------------------------------------------------------------
@@ -208,10 +201,10 @@ def fk_uniform_sql(u: str, n, base: int = 1) -> str:
     return f"CAST(floor({u} * ({n})) + {base} AS BIGINT)"
 
 
-def fk_cyclic(x, mult: int, n) -> Column:
-    """``(x * mult) mod n + 1``: every key hit equally when mult and n are coprime (variant D)."""
-    return (draw_modular(x, mult, n) + F.lit(1)).cast("bigint")
+def fk_cyclic(x, mult: int, n, base: int = 1) -> Column:
+    """``(x * mult) mod n + base``: every key hit equally when mult and n are coprime (variant D)."""
+    return (draw_modular(x, mult, n) + F.lit(base)).cast("bigint")
 
 
-def fk_cyclic_sql(x: str, mult: int, n) -> str:
-    return f"CAST({draw_modular_sql(x, mult, n)} + 1 AS BIGINT)"
+def fk_cyclic_sql(x: str, mult: int, n, base: int = 1) -> str:
+    return f"CAST({draw_modular_sql(x, mult, n)} + {base} AS BIGINT)"

@@ -73,24 +73,35 @@ TEXT_CTE_SQL = (
 TEXT_JOIN_SQL = "CROSS JOIN text_vocab"
 
 
-def _start(h: Column, j: int) -> Column:
-    return F.pmod(h + F.lit(977 * j), F.lit(BIG - 16)) + F.lit(1)
+def _start(h: Column, j: int) -> list[Column]:
+    """Three places in the stream, from three 12-bit steps of the row's hash."""
+    hj = h + F.lit(977 * j)
+    return [F.pmod(F.shiftright(hj, 12 * i), F.lit(BIG - 16)) + F.lit(1) for i in range(3)]
 
 
-def _start_sql(h: str, j: int) -> str:
-    return f"(((({h}) + {977 * j}) % {BIG - 16}) + 1)"
+def _start_sql(h: str, j: int) -> list[str]:
+    return [f"((((({h}) + {977 * j}) >> {12 * i}) % {BIG - 16}) + 1)" for i in range(3)]
 
 
-def _sentence(start: Column, n: Column, end: str = ".") -> Column:
-    """n >= 2 words from the stream at ``start``, first capitalised, then ``end``."""
-    return F.concat(F.element_at(_arr(_BIG_CAPS), start.cast("int")), F.lit(" "),
-                    F.array_join(F.slice(_arr(_BIG_WORDS), (start + 1).cast("int"), (n - 1).cast("int")), " "),
-                    F.lit(end))
+def _sentence(starts: list[Column], n: Column, end: str = ".") -> Column:
+    """n >= 3 words from three places of the stream, a third from each (the rest from the last), first
+    capitalised, then ``end``. Three places give about 7e10 different openings, so texts stay
+    different as rows grow."""
+    third = F.floor(n / F.lit(3)).cast("int")
 
+    def words(i: int, skip: int, count: Column) -> Column:
+        return F.slice(_arr(_BIG_WORDS), (starts[i] + skip).cast("int"), count.cast("int"))
+    first = F.array(F.element_at(_arr(_BIG_CAPS), starts[0].cast("int")))
+    all_words = F.concat(first, words(0, 1, third - 1), words(1, 0, third), words(2, 0, n - third * 2))
+    return F.concat(F.array_join(all_words, " "), F.lit(end))
 
-def _sentence_sql(start: str, n: str, end: str = ".") -> str:
-    return (f"(text_vocab.caps[{start}] || ' ' || array_to_string(list_slice(text_vocab.words, ({start}) + 1, "
-            f"({start}) + ({n}) - 1), ' ') || {_q(end)})")
+
+def _sentence_sql(starts: list[str], n: str, end: str = ".") -> str:
+    third = f"(({n}) // 3)"
+    a, b, c = starts
+    return (f"(array_to_string([text_vocab.caps[{a}]] || list_slice(text_vocab.words, {a} + 1, {a} + {third} - 1) "
+            f"|| list_slice(text_vocab.words, {b}, {b} + {third} - 1) "
+            f"|| list_slice(text_vocab.words, {c}, {c} + ({n}) - 2 * {third} - 1), ' ') || {_q(end)})")
 
 
 # --- C13 usernames ---------------------------------------------------------------------------

@@ -20,13 +20,14 @@ def check_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def check_foreign_key(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
-    """Child rows whose reference has no parent (left anti join).
+    """Child rows whose reference has no parent (left anti join); a null reference
+    refers to nothing and is no orphan.
 
     The parent side is projected to its key first; Spark broadcasts it when small and
     otherwise shuffles both sides on the key.
     """
-    parent_keys = parent.select(F.col(pk).alias("__pk")).distinct()
-    return child.join(parent_keys, child[fk] == parent_keys["__pk"], "left_anti")
+    parent_keys = parent.select(F.col(pk).alias("__pk"))
+    return child.where(F.col(fk).isNotNull()).join(parent_keys, F.col(fk) == F.col("__pk"), "left_anti")
 
 
 def check_no_self(edges: DataFrame, a: str, b: str) -> DataFrame:

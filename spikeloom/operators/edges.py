@@ -12,49 +12,52 @@ from __future__ import annotations
 import math
 from typing import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spikeloom.functions.draws import digest, draw_uniform, slice_uniform
+from spikeloom.functions.draws import digest, draw_int, draw_uniform, slice_uniform
+from spikeloom.operators.joins import pick_eligible
+from spikeloom.params import GrowthParams
 
 HIST_BLOCKS = 4096
 
 
-def first_n_by(df: DataFrame, key: str, n: int, blocks: int = HIST_BLOCKS) -> DataFrame:
+def first_n_by(df: DataFrame, key: str, n: int, blocks: int = HIST_BLOCKS, rows_ranked: int = 1_000_000) -> DataFrame:
     """The ``n`` rows with the smallest unique integer ``key``, without a global sort.
 
-    A histogram of key blocks (at most ``blocks`` rows, broadcast) finds the block where the
-    running count passes n; rows of earlier blocks are kept as they are and only the rows of
-    that one block are ranked. Works for any n, including n in the billions.
+    A histogram of key blocks (at most ``blocks`` rows) finds the block where the running count
+    passes n. While that block holds more than ``rows_ranked`` rows it is cut into blocks in turn; then
+    only its rows are ranked, to find the last key that stays. Works for any n.
     """
     if n <= 0:
         return df.limit(0)
     rng = df.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()
     if rng["lo"] is None:
         return df
-    lo, hi = int(rng["lo"]), int(rng["hi"])
-    width = max(1, math.ceil((hi - lo + 1) / blocks))
-    blk = F.floor((F.col(key) - F.lit(lo)) / F.lit(width)).cast("bigint")
-    b = df.withColumn("__blk", blk)
-    hist = b.groupBy("__blk").agg(F.count(F.lit(1)).alias("__c"))
-    w = Window.partitionBy(F.lit(0)).orderBy("__blk").rowsBetween(Window.unboundedPreceding, -1)
-    hist = hist.withColumn("__before", F.coalesce(F.sum("__c").over(w), F.lit(0)))
-    hist = hist.where(F.col("__before") < F.lit(n)).withColumn(
-        "__need", F.when(F.col("__before") + F.col("__c") <= F.lit(n), F.lit(None))
-        .otherwise(F.lit(n) - F.col("__before")))
-    b = b.join(F.broadcast(hist.select("__blk", "__need")), "__blk")
-    whole = b.where(F.col("__need").isNull())
-    cut = b.where(F.col("__need").isNotNull())
-    cut = cut.withColumn("__r", F.row_number().over(Window.partitionBy("__blk").orderBy(key)))
-    cut = cut.where(F.col("__r") <= F.col("__need")).drop("__r")
-    return whole.unionByName(cut).drop("__blk", "__need")
+    lo, hi, need, inside = int(rng["lo"]), int(rng["hi"]), n, df
+    while True:
+        width = max(1, math.ceil((hi - lo + 1) / blocks))
+        hist = inside.groupBy(F.floor((F.col(key) - F.lit(lo)) / F.lit(width)).cast("bigint").alias("b")) \
+            .agg(F.count(F.lit(1)).alias("c")).orderBy("b").collect()
+        for r in hist:
+            if need <= r["c"]:
+                break
+            need -= r["c"]
+        else:
+            return df
+        lo, hi = lo + r["b"] * width, lo + (r["b"] + 1) * width - 1
+        inside = df.where(F.col(key).between(lo, hi))
+        if r["c"] <= rows_ranked or width == 1:
+            break
+    last = inside.select(key).orderBy(key).limit(need).agg(F.max(key)).first()[0]
+    return df.where(F.col(key) <= F.lit(last))
 
 
 def candidate_pairs(spark: SparkSession, m: int, seed: int, tag: str,
                     pick_a: Callable[[Column], Column], pick_b: Callable[[Column], Column],
-                    parts: int) -> DataFrame:
-    """m seeded candidates ``(cid, a, b)``; one md5 per candidate feeds both ends."""
-    c = spark.range(1, m + 1, 1, parts).withColumnRenamed("id", "cid")
+                    parts: int, after: int = 0) -> DataFrame:
+    """Seeded candidates ``(cid, a, b)`` number after + 1 to m; one md5 per candidate feeds both ends."""
+    c = spark.range(after + 1, m + 1, 1, parts).withColumnRenamed("id", "cid")
     c = c.withColumn("__d", digest(seed, tag, "cid"))
     c = c.select("cid", pick_a(slice_uniform(F.col("__d"), 0)).alias("a"),
                  pick_b(slice_uniform(F.col("__d"), 1)).alias("b"))
@@ -72,6 +75,7 @@ def unique_edges(spark: SparkSession, n: int, n_nodes: int, seed: int, tag: str,
                  ) -> DataFrame:
     """L1: exactly n distinct non-self pairs ``(a, b, cid)``, skewed as the picks say.
 
+    A round that gives too few pairs draws the next candidates only; earlier pairs are read back.
     Raises when n exceeds the possible pairs, or when the skew is so strong that
     ``oversample * 2^max_rounds`` candidates per edge do not give n distinct pairs.
     """
@@ -79,14 +83,15 @@ def unique_edges(spark: SparkSession, n: int, n_nodes: int, seed: int, tag: str,
         raise ValueError(f"{n} edges requested but only {n_nodes * (n_nodes - 1)} pairs exist")
     from spikeloom.session import checkpoint_dir
     checkpoint_dir(spark)
-    m = max(16, int(math.ceil(n * oversample)))
+    drawn, m = 0, max(16, int(math.ceil(n * oversample)))
     limit = m << max_rounds
-    cores = spark.sparkContext.defaultParallelism
+    cores, pairs = spark.sparkContext.defaultParallelism, None
     while True:
-        parts = max(cores, math.ceil(m / rows_per_part))
+        parts = max(cores, math.ceil((m - drawn) / rows_per_part))
+        new = candidate_pairs(spark, m, seed, tag, pick_a, pick_b, parts, drawn)
         # checkpointed (reliable storage): the count and the cut below read files, not lineage
-        pairs = distinct_pairs(candidate_pairs(spark, m, seed, tag, pick_a, pick_b, parts)).checkpoint()
-        have = pairs.count()
+        pairs = distinct_pairs(new if pairs is None else pairs.unionByName(new.select(*pairs.columns))).checkpoint()
+        have, drawn = pairs.count(), m
         if have >= n:
             return first_n_by(pairs, "cid", n)
         if m >= limit:
@@ -103,10 +108,28 @@ def add_reciprocal(edges: DataFrame, q: float, seed: int, tag: str = "reverse",
     Output key ``ekey = 2*key (+1 for a reversed row)`` stays unique and ordered.
     """
     lo, hi = F.least(F.col(a), F.col(b)), F.greatest(F.col(a), F.col(b))
-    first = Window.partitionBy(lo, hi).orderBy(key)
-    one_way = edges.withColumn("__r", F.row_number().over(first)).where(F.col("__r") == 1).drop("__r")
-    fwd = one_way.withColumn("ekey", F.col(key) * 2)
-    rev = (one_way.where(draw_uniform(seed, tag, key) < F.lit(float(q)))
-           .select(F.col(b).alias(a), F.col(a).alias(b), *[c for c in one_way.columns if c not in (a, b)])
-           .withColumn("ekey", F.col(key) * 2 + 1))
-    return fwd.unionByName(rev)
+    rest = [c for c in edges.columns if c != key]
+    one_way = edges.groupBy(lo.alias("__lo"), hi.alias("__hi")).agg(F.min(F.struct(key, *rest)).alias("__e"))
+    one_way = one_way.select(*[F.col("__e").getField(c).alias(c) for c in edges.columns])
+    forward = F.struct(F.col(a).alias("x"), F.col(b).alias("y"), (F.col(key) * 2).alias("ekey"))
+    back = F.struct(F.col(b).alias("x"), F.col(a).alias("y"), (F.col(key) * 2 + 1).alias("ekey"))
+    ways = F.when(draw_uniform(seed, tag, key) < F.lit(float(q)), F.array(forward, back)).otherwise(F.array(forward))
+    out = one_way.withColumn("__w", F.explode(ways))
+    others = [c for c in edges.columns if c not in (a, b)]
+    return out.select(F.col("__w.x").alias(a), F.col("__w.y").alias(b), *others, F.col("__w.ekey").alias("ekey"))
+
+
+def activated_follows(users: DataFrame, peak_start: str, peak_end: str, p: GrowthParams) -> DataFrame:
+    """L3: users (id, created_at) follow with the probability of their join period; the followee is
+    drawn among users joined at most ``follow_lead_days`` after the follower, the date 0 to
+    ``follow_shift_days`` - 1 days after joining. One follow per follower at most."""
+    ts, after = F.col("created_at"), F.datediff(F.to_date("created_at"), F.to_date(F.lit(peak_end)))
+    chance = (F.when(ts < F.lit(peak_start).cast("timestamp_ntz"), F.lit(p.follow_p_pre))
+              .when(ts < F.lit(peak_end).cast("timestamp_ntz"), F.lit(p.follow_p_peak))
+              .otherwise(F.lit(p.follow_p_post) * F.exp(F.lit(-p.follow_decay) * after)))
+    f = users.where(draw_uniform(p.seed, "follow_p", "id") < chance).select("id", "created_at")
+    f = pick_eligible(f, "id", "created_at", users, "id", "created_at", p.seed, "followee",
+                      lead_days=p.follow_lead_days, self_key="id").where("picked <> id")
+    day = F.date_add(F.to_date("created_at"), draw_int(draw_uniform(p.seed, "follow_day", "id"), 0, p.follow_shift_days).cast("int"))
+    return f.select(F.col("id").alias("following_user_id"), F.col("picked").alias("followed_user_id"),
+                    day.cast("timestamp_ntz").alias("created_at"))

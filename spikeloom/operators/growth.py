@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spikeloom.operators.joins import edge_pairs
 from spikeloom.params import Timeline
 
 
@@ -37,6 +38,14 @@ def daily_counts(df: DataFrame, ts: str, out: str = "n") -> DataFrame:
             .agg(F.count(F.lit(1)).alias(out)))
 
 
+def day_spine(daily: DataFrame, day: str, counts: list[str]) -> DataFrame:
+    """Every calendar day from the first to the last of a daily table, with 0 where it has none."""
+    ends = daily.agg(F.min(day).alias("lo"), F.max(day).alias("hi")).where("lo IS NOT NULL")
+    days = ends.select(F.explode(F.sequence(F.to_date("lo"), F.to_date("hi"))).alias("__d")).select(
+        F.col("__d").cast("timestamp_ntz").alias(day))
+    return days.join(daily, day, "left").fillna(0, counts)
+
+
 def monthly_volume(tables: dict[str, DataFrame], ts: str = "created_at") -> DataFrame:
     """K2: rows per (table, year, month)."""
     parts = [df.groupBy(F.year(ts).cast("bigint").alias("year"), F.month(ts).cast("bigint").alias("month"))
@@ -45,6 +54,13 @@ def monthly_volume(tables: dict[str, DataFrame], ts: str = "created_at") -> Data
     return reduce(DataFrame.unionByName, parts)
 
 
+def first_months(volume: DataFrame, k: int = 6) -> DataFrame:
+    """The first k months of each table of a `monthly_volume`, in order (H1, H2)."""
+    w = Window.partitionBy("table_name").orderBy("year", "month")
+    return volume.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= k).drop("__r") \
+        .orderBy("table_name", "year", "month")
+
+
 def period_means(df: DataFrame, ts: str, peak_start: str, peak_end: str) -> DataFrame:
     """mean rows per active day in each period (one row per period)."""
     d = daily_counts(df, ts).withColumn("period", period_of("day", peak_start, peak_end))
@@ -57,6 +73,7 @@ def period_report(users: DataFrame, posts: DataFrame, follows: DataFrame, tl: Ti
     table totals and posts per user. Registrations go through one small daily table."""
     ps, pe = str(tl.viral_start), str(tl.peak_end)
     means = period_means(users, ts, ps, pe)
+    # fixed values: the source's metric labels
     names = {"pre": "DAILY_REGISTRATIONS_PRE_VIRAL", "peak": "DAILY_REGISTRATIONS_VIRAL_PEAK",
              "post": "DAILY_REGISTRATIONS_POST_VIRAL"}
     spark = users.sparkSession
@@ -86,15 +103,20 @@ def period_samples(df: DataFrame, ts: str, peak_start: str, peak_end: str, k: in
 
 
 def spike_ratio(tables: dict[str, DataFrame], ts: str, peak_start: str, peak_end: str) -> DataFrame:
-    """K5: mean rows per active day before, during and after the peak; peak / before."""
-    parts = []
-    for name, df in tables.items():
-        m = period_means(df, ts, peak_start, peak_end)
-        row = m.agg(*[F.max(F.when(F.col("period") == p, F.col("per_day"))).alias(f"{p}_per_day")
-                      for p in ("pre", "peak", "post")])
-        parts.append(row.withColumn("table_name", F.lit(name)))
-    r = reduce(DataFrame.unionByName, parts)
-    r = r.withColumn("spike_ratio", F.col("peak_per_day") / F.col("pre_per_day"))
+    """K5: rows per calendar day before, during and after the peak; peak / before. The days of a
+    period run from the first to the last day that any of the tables has; a period without such
+    days is null."""
+    daily = reduce(DataFrame.unionByName, [daily_counts(df, ts).withColumn("table_name", F.lit(name)) for name, df in tables.items()])
+    days = daily.select("day").distinct().withColumn("n", F.lit(0))
+    per = period_of("day", peak_start, peak_end)
+    spans = day_spine(days, "day", ["n"]).groupBy(per.alias("period")).agg(F.count(F.lit(1)).alias("days"))
+    sums = daily.groupBy("table_name", per.alias("period")).agg(F.sum("n").alias("n"))
+    names = daily.select("table_name").distinct()
+    rates = names.join(spans).join(sums, ["table_name", "period"], "left") \
+        .withColumn("per_day", F.coalesce("n", F.lit(0)) / F.col("days"))
+    r = rates.groupBy("table_name").agg(*[F.max(F.when(F.col("period") == p, F.col("per_day"))).alias(f"{p}_per_day")
+                                          for p in ("pre", "peak", "post")])
+    r = r.withColumn("spike_ratio", F.try_divide(F.col("peak_per_day"), F.col("pre_per_day")))
     return r.select("table_name", *[F.round(c, 6).alias(c) for c in
                                     ("pre_per_day", "peak_per_day", "post_per_day", "spike_ratio")])
 
@@ -108,7 +130,8 @@ def cohort_retention(users: DataFrame, key: str, joined: str, activity: DataFram
     """
     u = users.select(F.col(key).alias("__u"), F.col(joined).alias("__j"),
                      F.date_trunc(unit, F.col(joined)).cast("timestamp_ntz").alias("cohort"))
-    a = activity.select(F.col(act_key).alias("__u"), F.col(act_ts).alias("__t"))
+    # one row per user and day before the join: a hot user is folded on the map side
+    a = activity.groupBy(F.col(act_key).alias("__u"), F.to_date(F.col(act_ts)).alias("__day")).agg(F.max(act_ts).alias("__t"))
     j = a.join(u, "__u").where(F.col("__t") >= F.col("__j"))
     if unit == "week":
         since = F.floor(F.datediff(F.to_date("__t"), F.to_date("cohort")) / 7)
@@ -128,7 +151,7 @@ def churn_after_spike(users: DataFrame, key: str, joined: str, activity: DataFra
     spike = users.where((F.col(joined) >= F.lit(peak_start).cast("timestamp_ntz"))
                         & (F.col(joined) < F.lit(peak_end).cast("timestamp_ntz")))
     spike = spike.select(F.col(key).alias("__u"), F.col(joined).alias("__j"))
-    a = activity.select(F.col(act_key).alias("__au"), F.col(act_ts).alias("__t"))
+    a = activity.groupBy(F.col(act_key).alias("__au")).agg(F.max(act_ts).alias("__t"))
     late = a.join(spike, F.col("__au") == F.col("__u")).where(
         F.col("__t") >= F.timestamp_add("DAY", F.lit(horizon_days), F.col("__j"))).select("__u")
     churned = spike.join(late, "__u", "left_anti")
@@ -150,10 +173,11 @@ def content_virality(posts: DataFrame, author: str, ts: str, peak_start: str, pe
 
 def network_effect(users: DataFrame, user_ts: str, follows: DataFrame, follow_ts: str) -> DataFrame:
     """K9: per day, new users and new follows, follows per new user, and day-over-day growth of
-    each (lag on the small daily table)."""
+    each (lag on the small daily table, every calendar day present)."""
     du = daily_counts(users, user_ts, "new_users")
     df_ = daily_counts(follows, follow_ts, "new_follows")
     d = du.join(df_, "day", "full_outer").fillna(0, ["new_users", "new_follows"])
+    d = day_spine(d, "day", ["new_users", "new_follows"])
     w = Window.partitionBy(F.lit(0)).orderBy("day")
     return d.select(
         "day", "new_users", "new_follows",
@@ -189,17 +213,16 @@ def influence_share(edges: DataFrame, dst: str, top: float = 0.2, n_nodes=None)
 
 def reciprocity(edges: DataFrame, a: str, b: str) -> DataFrame:
     """Distinct non-self edges, how many have their reverse, and the mutual share."""
-    e = edges.where(F.col(a) != F.col(b)).select(F.col(a).alias("__a"), F.col(b).alias("__b")).distinct()
-    r = e.select(F.col("__a").alias("__rb"), F.col("__b").alias("__ra"))
-    mutual = e.join(r, (F.col("__a") == F.col("__ra")) & (F.col("__b") == F.col("__rb")), "left_semi")
-    n = e.agg(F.count(F.lit(1)).alias("edges"))
-    return (n.withColumn("mutual_edges", mutual.agg(F.count(F.lit(1))).scalar())
-            .withColumn("mutual_share", F.round(F.col("mutual_edges") / F.col("edges"), 6)))
+    pairs = edge_pairs(edges.where(F.col(a) != F.col(b)), a, b)
+    n = pairs.agg(F.count(F.lit(1)).alias("pairs"), F.count_if(F.col("up") & F.col("down")).alias("both"))
+    return n.select((F.col("pairs") + F.col("both")).alias("edges"), (2 * F.col("both")).alias("mutual_edges"),
+                    F.round(F.try_divide(2 * F.col("both"), F.col("pairs") + F.col("both")), 6).alias("mutual_share"))
 
 
 def spike_days(daily: DataFrame, day: str, n: str, window: int = 7, z: float = 3.0) -> DataFrame:
-    """Each day's count against the mean and sample sd of the ``window`` days before it;
+    """Each calendar day's count against the mean and sample sd of the ``window`` days before it;
     ``is_spike`` when above mean + z * sd. Runs on the small daily table."""
+    daily = day_spine(daily.select(day, n), day, [n])
     w = Window.partitionBy(F.lit(0)).orderBy(day).rowsBetween(-window, -1)
     mean, sd = F.avg(n).over(w), F.stddev_samp(n).over(w)
     d = daily.select(day, n, mean.alias("trailing_mean"), sd.alias("trailing_sd"))

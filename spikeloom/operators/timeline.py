@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from spikeloom.params import Timeline
 
-WEIGHT_SCALE = 1000  # integer weights: round(w * 1000); keeps scaling exact in any engine
+WEIGHT_SCALE = 1_000_000_000  # integer weights: round(w * 1e9), in 128-bit arithmetic
 
 
 def row_source(spark: SparkSession, n: int, rows_per_part: int = 1_000_000) -> DataFrame:
@@ -69,17 +69,18 @@ def rate_curve_sql(day: str, tl: Timeline) -> str:
 
 def scale_to_total(small: DataFrame, weight: str, n, key: str, out: str = "n_rows") -> DataFrame:
     """D4 without truncation: integer counts proportional to ``weight`` summing to exactly ``n``
-    (largest remainder, ties by ``key``). Integer arithmetic throughout, so any engine agrees.
+    (largest remainder, ties by ``key``). Weights count from 1e-9 up and up to 1e9, n up to 1e12:
+    products are 38-digit decimals, so nothing is rounded and any engine agrees.
 
     ``small`` is a per-day (or per-group) table: the windows below run on it in one partition.
     ``n`` is an int or a scalar Column (e.g. a count subquery).
     """
-    n_c = n if isinstance(n, Column) else F.lit(int(n))
-    w = small.withColumn("__w", F.round(F.col(weight) * F.lit(WEIGHT_SCALE)).cast("bigint"))
+    n_c = (n if isinstance(n, Column) else F.lit(int(n))).cast("decimal(18,0)")
+    w = small.withColumn("__w", F.round(F.col(weight) * F.lit(WEIGHT_SCALE)).cast("decimal(19,0)"))
     whole = Window.partitionBy(F.lit(0))
-    w = (w.withColumn("__wsum", F.sum("__w").over(whole))
-          .withColumn("__wn", F.col("__w") * n_c.cast("bigint"))
-          .withColumn("__floor", F.expr("__wn div __wsum"))
+    w = (w.withColumn("__wsum", F.sum("__w").over(whole).cast("decimal(28,0)"))
+          .withColumn("__wn", (F.col("__w") * n_c).cast("decimal(38,0)"))
+          .withColumn("__floor", F.expr("__wn div __wsum").cast("bigint"))
           .withColumn("__rem", F.expr("__wn % __wsum")))
     w = w.withColumn("__deficit", n_c.cast("bigint") - F.sum("__floor").over(whole))
     w = w.withColumn("__rank", F.row_number().over(
@@ -94,9 +95,9 @@ def scale_to_total_sql(src: str, weight: str, n: str, key: str, out: str = "n_ro
         CAST(__floor + CAST(__rank <= __deficit AS BIGINT) AS BIGINT) AS {out}
    FROM (SELECT *, CAST({n} - sum(__floor) OVER () AS BIGINT) AS __deficit,
                 row_number() OVER (ORDER BY __rem DESC, {key}) AS __rank
-           FROM (SELECT *, __wn // __wsum AS __floor, __wn % __wsum AS __rem
-                   FROM (SELECT *, CAST(sum(__w) OVER () AS BIGINT) AS __wsum, __w * {n} AS __wn
-                           FROM (SELECT *, CAST(round({weight} * {WEIGHT_SCALE}) AS BIGINT) AS __w
+           FROM (SELECT *, CAST(__wn // __wsum AS BIGINT) AS __floor, __wn % __wsum AS __rem
+                   FROM (SELECT *, CAST(sum(__w) OVER () AS HUGEINT) AS __wsum, __w * CAST({n} AS HUGEINT) AS __wn
+                           FROM (SELECT *, CAST(round({weight} * {WEIGHT_SCALE}) AS HUGEINT) AS __w
                                    FROM {src})))))"""
 
 
@@ -111,17 +112,13 @@ def expand_counts(small: DataFrame, count: str, chunk_rows: int, offset: str = "
     """Each row of ``small`` becomes ``count`` rows numbered ``offset`` 0..count-1.
 
     Rows with a large count are first cut into chunks of at most ``chunk_rows`` (a tiny table),
-    the chunks are spread round-robin over ``partitions`` tasks (default: one per chunk, at
-    least the cluster's parallelism when there are that many chunks), and only then expanded:
-    a day that holds a third of all rows is generated by many tasks at once. Count 0 vanishes.
+    the chunks are spread round-robin over ``partitions`` tasks (default: the session's number of
+    shuffle partitions) and only then expanded: a day that holds a third of all rows is generated
+    by many tasks at once. Count 0 vanishes. No job runs while the plan is built.
     """
     c = F.col(count)
     if partitions is None:
-        total = small.agg(F.sum(count)).first()[0] or 0
-        cores = small.sparkSession.sparkContext.defaultParallelism
-        # at least one chunk per core, never more than chunk_rows rows in one
-        chunk_rows = max(1, min(chunk_rows, math.ceil(total / cores))) if total else chunk_rows
-        partitions = max(1, math.ceil(total / chunk_rows))
+        partitions = int(small.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chunks = (small.where(c > 0)
               .withColumn("__chunk", F.explode(F.sequence(
                   F.lit(0).cast("bigint"), ((c - 1) / F.lit(chunk_rows)).cast("bigint")))))

@@ -38,7 +38,6 @@ STATUSES_BY_PERIOD_E = {
     "peak": (("published", 0.95), ("flagged", 0.03), ("archived", 0.02)),
     "post": (("published", 0.85), ("draft", 0.10), ("archived", 0.05)),
 }
-REFERENCE_SIZES = {"users": 500_000, "posts": 1_000_000, "follows": 20_000}
 PERIODS = ("pre", "peak", "post")
 
 # exponent that puts 80 % of draws on the top 20 % of ids: k = ln 0.2 / ln 0.8

@@ -38,14 +38,6 @@ class Sizes:
     follows: int
 
 
-def sizes_from_tables(spark: SparkSession, sf_dir: str) -> Sizes:
-    """Stand-in sizes: users = customers, posts = orders, follows = 2 per user."""
-    from spikeloom.sources.tables import read_table
-    n_users = read_table(spark, sf_dir, "customer").count()
-    n_posts = read_table(spark, sf_dir, "orders").count()
-    return Sizes(n_users, n_posts, 2 * n_users)
-
-
 def posts_rate(day: Column, p: GrowthParams) -> Column:
     """Posts per user by registration period, truncated to an integer (E)."""
     tl = p.timeline
@@ -126,10 +118,6 @@ def edges_wanted(n: int, q: float) -> int:
     return int(math.floor(n / (1.0 + q) * 1.05 + 0.5)) + 8
 
 
-def edges_wanted_sql(n: str, q: float) -> str:
-    return f"(CAST(floor(({n}) / (1.0 + {q!r}) * 1.05 + 0.5) AS BIGINT) + 8)"
-
-
 def build_follows(spark: SparkSession, p: GrowthParams, users: DataFrame, sizes: Sizes) -> DataFrame:
     from spikeloom.session import checkpoint_dir
     checkpoint_dir(spark)
@@ -145,6 +133,8 @@ def build_follows(spark: SparkSession, p: GrowthParams, users: DataFrame, sizes:
         if both.count() >= n:
             break
         want = int(want * 1.5) + 8
+    else:
+        raise ValueError(f"fewer than {n} follows after eight rounds; flatten the skew")
     both = first_n_by(both, "ekey", n)
     ua = users.select(F.col("id").alias("a"), F.col("created_at").alias("__ta"))
     ub = users.select(F.col("id").alias("b"), F.col("created_at").alias("__tb"))
@@ -179,8 +169,6 @@ def build_all(spark: SparkSession, p: GrowthParams, sizes: Sizes, out_dir: str |
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Build the three tables sized from ``sf_dir`` and return the period report (K3)."""
-    from spikeloom.operators.growth import period_report
-    p = GrowthParams()
-    t = build_all(spark, p, sizes_from_tables(spark, sf_dir))
-    return period_report(t["users"], t["posts"], t["follows"], p.timeline)
+    """The period report (K3) over users, posts and follows built from the rows of ``sf_dir``."""
+    from spikeloom.plans.catalog.build_q import q_period_report
+    return q_period_report(spark, sf_dir)

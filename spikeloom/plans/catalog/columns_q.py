@@ -47,16 +47,14 @@ def q_make_username(spark, sf):
 WITH {X.TEXT_CTE_SQL}
 SELECT o_orderkey AS id, {X.make_title_sql(S, 'o_orderkey')} AS title FROM orders {X.TEXT_JOIN_SQL}""")
 def q_make_title(spark, sf):
-    return read_table(spark, sf, "orders").select(
-        F.col("o_orderkey").alias("id"), X.make_title(S, "o_orderkey").alias("title"))
+    return X.add_title(read_table(spark, sf, "orders").select(F.col("o_orderkey").alias("id")), S, "id")
 
 
 @register("make_body", f"""
 WITH {X.TEXT_CTE_SQL}
 SELECT o_orderkey AS id, {X.make_body_sql(S, 'o_orderkey')} AS body FROM orders {X.TEXT_JOIN_SQL}""")
 def q_make_body(spark, sf):
-    return read_table(spark, sf, "orders").select(
-        F.col("o_orderkey").alias("id"), X.make_body(S, "o_orderkey").alias("body"))
+    return X.add_body(read_table(spark, sf, "orders").select(F.col("o_orderkey").alias("id")), S, "id")
 
 
 @register("hash_text", f"""

@@ -70,48 +70,48 @@ def q_draw_int(spark, sf):
 
 @register("power_law_id", f"""
 SELECT o_orderkey AS id,
-       {D.power_law_id_sql(D.draw_uniform_sql(S, 'pl', 'o_orderkey'), count_sql('customer'), 2.0)} AS follower,
-       {D.power_law_id_sql(D.draw_uniform_sql(S, 'pl', 'o_orderkey', slot=1), count_sql('customer'), POWER_LAW_80_20)} AS followed
+       {D.power_law_id_sql(D.draw_uniform_sql(S, 'pl', 'o_orderkey'), count_sql('customer'), 2.0, 0)} AS follower,
+       {D.power_law_id_sql(D.draw_uniform_sql(S, 'pl', 'o_orderkey', slot=1), count_sql('customer'), POWER_LAW_80_20, 0)} AS followed
 FROM orders""")
 def q_power_law_id(spark, sf):
     n = count_of(spark, sf, "customer")
     d = D.digest(S, "pl", "o_orderkey")
     return read_table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("id"),
-        D.power_law_id(D.slice_uniform(d, 0), n, 2.0).alias("follower"),
-        D.power_law_id(D.slice_uniform(d, 1), n, POWER_LAW_80_20).alias("followed"))
+        D.power_law_id(D.slice_uniform(d, 0), n, 2.0, 0).alias("follower"),
+        D.power_law_id(D.slice_uniform(d, 1), n, POWER_LAW_80_20, 0).alias("followed"))
 
 
 @register("exponential_id", f"""
 SELECT o_orderkey AS id,
-       {D.exponential_id_sql(D.draw_uniform_sql(S, 'ex', 'o_orderkey'), D.draw_uniform_sql(S, 'ex', 'o_orderkey', slot=1), count_sql('customer'), 50, 100)} AS follower
+       {D.exponential_id_sql(D.draw_uniform_sql(S, 'ex', 'o_orderkey'), D.draw_uniform_sql(S, 'ex', 'o_orderkey', slot=1), count_sql('customer'), '0.4 * ' + count_sql('customer'), '0.2 * ' + count_sql('customer'), 0)} AS follower
 FROM orders""")
 def q_exponential_id(spark, sf):
     n = count_of(spark, sf, "customer")
     d = D.digest(S, "ex", "o_orderkey")
     return read_table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("id"),
-        D.exponential_id(D.slice_uniform(d, 0), D.slice_uniform(d, 1), n, 50, 100).alias("follower"))
+        D.exponential_id(D.slice_uniform(d, 0), D.slice_uniform(d, 1), n, n * 0.4, n * 0.2, 0).alias("follower"))
 
 
 def _avoid_cands_sql(n):
-    return [D.power_law_id_sql(D.draw_uniform_sql(S, f"b{i}", "o_orderkey"), n, POWER_LAW_80_20)
+    return [D.power_law_id_sql(D.draw_uniform_sql(S, f"b{i}", "o_orderkey"), n, POWER_LAW_80_20, 0)
             for i in range(5)]
 
 
 @register("avoid_self", f"""
-SELECT id, a, {D.avoid_self_sql('a', _avoid_cands_sql(count_sql('customer')), count_sql('customer'))} AS b
+SELECT id, a, {D.avoid_self_sql('a', _avoid_cands_sql(count_sql('customer')), count_sql('customer'), 0)} AS b
 FROM (SELECT o_orderkey, o_orderkey AS id,
-             {D.power_law_id_sql(D.draw_uniform_sql(S, 'a', 'o_orderkey'), count_sql('customer'), POWER_LAW_80_20)} AS a
+             {D.power_law_id_sql(D.draw_uniform_sql(S, 'a', 'o_orderkey'), count_sql('customer'), POWER_LAW_80_20, 0)} AS a
       FROM orders)""")
 def q_avoid_self(spark, sf):
     n = count_of(spark, sf, "customer")
     o = read_table(spark, sf, "orders").select(
         "o_orderkey", F.col("o_orderkey").alias("id"),
-        D.power_law_id(D.draw_uniform(S, "a", "o_orderkey"), n, POWER_LAW_80_20).alias("a"))
-    cands = [D.power_law_id(D.draw_uniform(S, f"b{i}", "o_orderkey"), n, POWER_LAW_80_20)
+        D.power_law_id(D.draw_uniform(S, "a", "o_orderkey"), n, POWER_LAW_80_20, 0).alias("a"))
+    cands = [D.power_law_id(D.draw_uniform(S, f"b{i}", "o_orderkey"), n, POWER_LAW_80_20, 0)
              for i in range(5)]
-    return o.select("id", "a", D.avoid_self("a", cands, n).alias("b"))
+    return o.select("id", "a", D.avoid_self("a", cands, n, 0).alias("b"))
 
 
 @register("fk_uniform", f"""
@@ -125,11 +125,11 @@ def q_fk_uniform(spark, sf):
 
 
 @register("fk_cyclic", f"""
-SELECT o_orderkey AS id, {D.fk_cyclic_sql('o_orderkey', 113, count_sql('customer'))} AS user_id FROM orders""")
+SELECT o_orderkey AS id, {D.fk_cyclic_sql('o_orderkey', 113, count_sql('customer'), 0)} AS user_id FROM orders""")
 def q_fk_cyclic(spark, sf):
     n = count_of(spark, sf, "customer")
     return read_table(spark, sf, "orders").select(
-        F.col("o_orderkey").alias("id"), D.fk_cyclic("o_orderkey", 113, n).alias("user_id"))
+        F.col("o_orderkey").alias("id"), D.fk_cyclic("o_orderkey", 113, n, 0).alias("user_id"))
 
 
 _EV_PERIOD_SQL = period_of_sql("ts", EVENTS_PEAK_START, EVENTS_PEAK_END)
@@ -180,3 +180,32 @@ FROM g""")
 def q_share_by_status(spark, sf):
     return share_by(read_table(spark, sf, "orders").select(F.col("o_orderstatus").alias("status")),
                     "status")
+
+
+_PICKS_SQL = ", ".join((
+    D.power_law_id_sql(D.draw_uniform_sql(S, "pl", "o_orderkey"), count_sql("customer"), 2.0, 0) + " AS power_law",
+    D.exponential_id_sql(D.draw_uniform_sql(S, "ex", "o_orderkey"), D.draw_uniform_sql(S, "ex", "o_orderkey", slot=1),
+                         count_sql("customer"), "0.4 * " + count_sql("customer"), "0.2 * " + count_sql("customer"), 0) + " AS exponential",
+    D.fk_cyclic_sql("o_orderkey", 113, count_sql("customer"), 0) + " AS cyclic",
+    D.fk_uniform_sql(D.draw_uniform_sql(S, "fk", "o_orderkey"), count_sql("customer"), 0) + " AS uniform"))
+
+
+@register("drawn_key_orphans", f"""
+WITH p AS (SELECT {_PICKS_SQL} FROM orders), u AS (UNPIVOT p ON power_law, exponential, cyclic, uniform INTO NAME draw VALUE k)
+SELECT draw, count(*) AS n_rows, count(*) FILTER (k NOT IN (SELECT c_custkey FROM customer)) AS orphans,
+       count(DISTINCT k) AS n_keys FROM u GROUP BY draw""")
+def q_drawn_key_orphans(spark, sf):
+    """J2 over every key draw: rows, references without a customer (none), distinct customers hit."""
+    n = count_of(spark, sf, "customer")
+    d, e = D.digest(S, "pl", "o_orderkey"), D.digest(S, "ex", "o_orderkey")
+    picks = read_table(spark, sf, "orders").select(
+        D.power_law_id(D.slice_uniform(d, 0), n, 2.0, 0).alias("power_law"),
+        D.exponential_id(D.slice_uniform(e, 0), D.slice_uniform(e, 1), n, n * 0.4, n * 0.2, 0).alias("exponential"),
+        D.fk_cyclic("o_orderkey", 113, n, 0).alias("cyclic"),
+        D.fk_uniform(D.draw_uniform(S, "fk", "o_orderkey"), n, 0).alias("uniform"))
+    long = picks.unpivot([], ["power_law", "exponential", "cyclic", "uniform"], "draw", "k")
+    hits = long.groupBy("draw", "k").agg(F.count(F.lit(1)).alias("c"))
+    known = read_table(spark, sf, "customer").select(F.col("c_custkey").alias("k"), F.lit(1).alias("known"))
+    return hits.join(known, "k", "left").groupBy("draw").agg(
+        F.sum("c").alias("n_rows"), F.coalesce(F.sum(F.when(F.col("known").isNull(), F.col("c"))), F.lit(0)).alias("orphans"),
+        F.count(F.lit(1)).alias("n_keys"))

@@ -66,17 +66,47 @@ def q_monthly_volume(spark, sf):
         "events": read_table(spark, sf, "events").withColumnRenamed("ts", "created_at")})
 
 
-@register("cohort_retention", f"""
-WITH u AS (SELECT id, created_at AS j, CAST(date_trunc('month', created_at) AS TIMESTAMP) AS cohort FROM {USERS_STANDIN_SQL}),
- a AS (SELECT DISTINCT u.cohort, CAST((year(o.o_orderdate) - year(u.cohort)) * 12 + month(o.o_orderdate) - month(u.cohort) AS BIGINT) AS period_n, u.id
+_VOLUME = f"""(SELECT CAST(year(created_at) AS BIGINT) AS year, CAST(month(created_at) AS BIGINT) AS month, count(*) AS n_rows,
+       'users' AS table_name FROM {USERS_STANDIN_SQL} GROUP BY 1, 2
+UNION ALL SELECT CAST(year(o_orderdate) AS BIGINT), CAST(month(o_orderdate) AS BIGINT), count(*), 'posts' FROM orders GROUP BY 1, 2)"""
+
+
+@register("first_months", f"""
+SELECT year, month, n_rows, table_name FROM (
+  SELECT *, row_number() OVER (PARTITION BY table_name ORDER BY year, month) AS r FROM {_VOLUME}) WHERE r <= 6
+ORDER BY table_name, year, month""")
+def q_first_months(spark, sf):
+    volume = K.monthly_volume({"users": users_standin(spark, sf),
+                               "posts": read_table(spark, sf, "orders").withColumnRenamed("o_orderdate", "created_at")})
+    return K.first_months(volume, 6)
+
+
+def _cohort_sql(unit, since):
+    return f"""
+WITH u AS (SELECT id, created_at AS j, CAST(date_trunc('{unit}', created_at) AS TIMESTAMP) AS cohort FROM {USERS_STANDIN_SQL}),
+ a AS (SELECT DISTINCT u.cohort, CAST({since} AS BIGINT) AS period_n, u.id
        FROM orders o JOIN u ON u.id = o.o_custkey WHERE o.o_orderdate >= u.j),
  act AS (SELECT cohort, period_n, count(*) AS active_users FROM a GROUP BY 1, 2),
  sz AS (SELECT cohort, count(*) AS cohort_users FROM u GROUP BY 1)
 SELECT act.cohort, period_n, active_users, cohort_users, round(active_users / cohort_users, 6) AS retention
-FROM act JOIN sz USING (cohort)""")
-def q_cohort_retention(spark, sf):
+FROM act JOIN sz USING (cohort)"""
+
+
+def _cohort(spark, sf, unit):
     return K.cohort_retention(users_standin(spark, sf), "id", "created_at", read_table(spark, sf, "orders"),
-                              "o_custkey", "o_orderdate", "month")
+                              "o_custkey", "o_orderdate", unit)
+
+
+@register("cohort_retention", _cohort_sql(
+    "month", "(year(o.o_orderdate) - year(u.cohort)) * 12 + month(o.o_orderdate) - month(u.cohort)"))
+def q_cohort_retention(spark, sf):
+    return _cohort(spark, sf, "month")
+
+
+@register("cohort_retention_weeks", _cohort_sql(
+    "week", "floor(date_diff('day', CAST(u.cohort AS DATE), CAST(o.o_orderdate AS DATE)) / 7)"))
+def q_cohort_retention_weeks(spark, sf):
+    return _cohort(spark, sf, "week")
 
 
 @register("churn_after_spike", f"""
@@ -107,8 +137,9 @@ def q_content_virality(spark, sf):
 @register("network_effect", f"""
 WITH du AS (SELECT CAST(CAST(created_at AS DATE) AS TIMESTAMP) AS day, count(*) AS new_users FROM {USERS_STANDIN_SQL} GROUP BY 1),
  df AS (SELECT CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) AS day, count(*) AS new_follows FROM lineitem GROUP BY 1),
- d AS (SELECT coalesce(du.day, df.day) AS day, coalesce(new_users, 0) AS new_users, coalesce(new_follows, 0) AS new_follows
-       FROM du FULL OUTER JOIN df ON du.day = df.day)
+ days AS (SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS TIMESTAMP) AS day FROM (SELECT day FROM du UNION ALL SELECT day FROM df)),
+ d AS (SELECT days.day, coalesce(new_users, 0) AS new_users, coalesce(new_follows, 0) AS new_follows
+       FROM days LEFT JOIN du ON du.day = days.day LEFT JOIN df ON df.day = days.day)
 SELECT day, new_users, new_follows, round(new_follows / nullif(new_users, 0), 6) AS follows_per_user,
        round(new_users / nullif(lag(new_users) OVER (ORDER BY day), 0), 6) AS user_growth,
        round(new_follows / nullif(lag(new_follows) OVER (ORDER BY day), 0), 6) AS follow_growth FROM d""")
@@ -117,7 +148,9 @@ def q_network_effect(spark, sf):
 
 
 @register("spike_days", """
-WITH d AS (SELECT CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS day, count(*) AS n FROM orders GROUP BY 1),
+WITH c AS (SELECT CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS day, count(*) AS n FROM orders GROUP BY 1),
+ d AS (SELECT s.day, coalesce(c.n, 0) AS n FROM (SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS TIMESTAMP) AS day FROM c) s
+       LEFT JOIN c ON c.day = s.day),
  w AS (SELECT day, n, avg(n) OVER x AS m, stddev_samp(n) OVER x AS s FROM d
        WINDOW x AS (ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))
 SELECT day, n, round(m, 6) AS trailing_mean, round(s, 6) AS trailing_sd, coalesce(n > m + 3.0 * s, false) AS is_spike FROM w""")
@@ -134,8 +167,12 @@ def q_posts_per_user_ratio(spark, sf):
 
 
 @register("table_samples", """
-SELECT 'customer sample' AS info, c_custkey AS id, c_name AS name FROM customer ORDER BY c_custkey LIMIT 3""")
+SELECT * FROM (SELECT 'users sample' AS info, c_custkey AS id, c_name AS name FROM customer ORDER BY c_custkey LIMIT 3)
+UNION ALL SELECT * FROM (SELECT 'posts sample', o_orderkey, o_orderstatus FROM orders ORDER BY o_orderkey LIMIT 3)
+UNION ALL SELECT * FROM (SELECT 'events sample', event_id, event_type FROM events ORDER BY event_id LIMIT 3)""")
 def q_table_samples(spark, sf):
-    """The first rows by key (an ordered limit; TakeOrderedAndProject, no full sort)."""
-    return (read_table(spark, sf, "customer").orderBy("c_custkey").limit(3)
-            .select(F.lit("customer sample").alias("info"), F.col("c_custkey").alias("id"), F.col("c_name").alias("name")))
+    """The first rows by key of three tables (ordered limits: no full sort)."""
+    parts = [read_table(spark, sf, t).orderBy(key).limit(3).select(F.lit(info).alias("info"), F.col(key).alias("id"), F.col(name).alias("name"))
+             for info, t, key, name in (("users sample", "customer", "c_custkey", "c_name"), ("posts sample", "orders", "o_orderkey", "o_orderstatus"),
+                                        ("events sample", "events", "event_id", "event_type"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from spikeloom.functions.draws import (
-    draw_int, draw_int_sql, draw_uniform, draw_uniform_sql, power_law_id, power_law_id_sql)
+from spikeloom.functions.draws import draw_int_sql, draw_uniform, draw_uniform_sql, power_law_id, power_law_id_sql
 from spikeloom.operators import joins as E
-from spikeloom.operators.edges import add_reciprocal, unique_edges
-from spikeloom.params import POWER_LAW_80_20
-from spikeloom.plans.build_sql import unique_edges_ctes
+from spikeloom.operators.checks import check_foreign_key
+from spikeloom.operators.edges import activated_follows, add_reciprocal, distinct_pairs, first_n_by
+from spikeloom.params import POWER_LAW_80_20, GrowthParams
 from spikeloom.plans.catalog.common import (
     EVENTS_PEAK_END, EVENTS_PEAK_START, ORDERS_PEAK_END, ORDERS_PRE_END, SEED as S, count_sql)
 from spikeloom.plans.registry import register
@@ -18,15 +17,15 @@ from spikeloom.sources.tables import USERS_STANDIN_SQL, read_table, users_standi
 
 @register("range_join_30d", f"""
 SELECT u.id AS user_id, o.o_orderkey AS order_key FROM {USERS_STANDIN_SQL} u JOIN orders o
-  ON date_diff('day', CAST(u.created_at AS DATE), CAST(o.o_orderdate AS DATE)) BETWEEN 0 AND 30""")
+  ON o.o_custkey = u.id AND date_diff('day', CAST(u.created_at AS DATE), CAST(o.o_orderdate AS DATE)) BETWEEN 0 AND 30""")
 def q_range_join_30d(spark, sf):
     u = users_standin(spark, sf).select(F.col("id").alias("user_id"), "created_at")
-    o = read_table(spark, sf, "orders").select(F.col("o_orderkey").alias("order_key"), "o_orderdate")
-    return E.range_join_days(u, "created_at", o, "o_orderdate", 0, 30).select("user_id", "order_key")
+    o = read_table(spark, sf, "orders").select(F.col("o_custkey").alias("user_id"), F.col("o_orderkey").alias("order_key"), "o_orderdate")
+    return E.range_join_days(u, "created_at", o, "o_orderdate", 0, 30, on=["user_id"]).select("user_id", "order_key")
 
 
 def _pick_sql(rows_sql: str, row_key: str, row_date: str, lead: int, tag: str, self_key: str | None) -> str:
-    """DuckDB twin of pick_eligible over the users stand-in as the pool (one bucket per date)."""
+    """DuckDB twin of pick_eligible over the users stand-in as the pool ."""
     u = draw_uniform_sql(S, tag, f"r.{row_key}")
     if self_key:
         own = f"(SELECT pos FROM pool WHERE pool.pk = r.{self_key})"
@@ -37,7 +36,7 @@ def _pick_sql(rows_sql: str, row_key: str, row_date: str, lead: int, tag: str, s
     else:
         want = f"(CASE WHEN r.big_n > 0 THEN CAST(floor({u} * r.big_n) AS BIGINT) + 1 END)"
     return f"""WITH pool AS (SELECT id AS pk, CAST(created_at AS DATE) AS pday,
-                     row_number() OVER (ORDER BY CAST(created_at AS DATE), id) AS pos FROM {USERS_STANDIN_SQL}),
+                     row_number() OVER (ORDER BY CAST(created_at AS DATE), {draw_uniform_sql(S, 'sub', 'id')}, id) AS pos FROM {USERS_STANDIN_SQL}),
   rr AS (SELECT *, CAST({row_date} AS DATE) + {lead} AS lim FROM {rows_sql}),
   r AS (SELECT rr.*, (SELECT count(*) FROM pool WHERE pool.pday <= rr.lim) AS big_n FROM rr),
   w AS (SELECT r.*, {want} AS want FROM r)
@@ -51,12 +50,6 @@ def q_pick_eligible(spark, sf):
     return E.pick_eligible(rows, "id", "d", pool, "id", "created_at", S, "author")
 
 
-def _period_p(ts):
-    return (F.when(ts < F.lit(ORDERS_PRE_END).cast("timestamp_ntz"), F.lit(0.02))
-            .when(ts < F.lit(ORDERS_PEAK_END).cast("timestamp_ntz"), F.lit(0.20))
-            .otherwise(F.lit(0.05) * F.exp(F.lit(-0.01) * F.datediff(F.to_date(ts), F.to_date(F.lit(ORDERS_PEAK_END))))))
-
-
 _P_SQL = f"""(CASE WHEN created_at < TIMESTAMP '{ORDERS_PRE_END}' THEN 0.02
   WHEN created_at < TIMESTAMP '{ORDERS_PEAK_END}' THEN 0.20
   ELSE 0.05 * exp(-0.01 * date_diff('day', TIMESTAMP '{ORDERS_PEAK_END}', created_at)) END)"""
@@ -71,24 +64,15 @@ SELECT following_user_id, followed_user_id, created_at FROM (
   FROM ({_pick_sql(_FOLLOWERS_SQL, 'id', 'created_at', 10, 'followee', 'id')}))
 WHERE followed_user_id IS NOT NULL AND followed_user_id <> following_user_id""")
 def q_activated_follows(spark, sf):
-    """L3: Bernoulli followers by join period, followee among users joined by 10 days after
-    the follower (not the follower), follow date 0..19 days after joining."""
-    users = users_standin(spark, sf)
-    f = users.where(draw_uniform(S, "follow_p", "id") < _period_p(F.col("created_at"))).select("id", "created_at")
-    f = E.pick_eligible(f, "id", "created_at", users, "id", "created_at", S, "followee",
-                        lead_days=10, self_key="id")
-    f = f.where(F.col("picked").isNotNull() & (F.col("picked") != F.col("id")))
-    return f.select(F.col("id").alias("following_user_id"), F.col("picked").alias("followed_user_id"),
-                    F.date_add(F.to_date("created_at"), draw_int(draw_uniform(S, "follow_day", "id"), 0, 20).cast("int"))
-                    .cast("timestamp_ntz").alias("created_at"))
-
-
-@register("fk_orphans", f"""
-SELECT event_id, user_id FROM events WHERE user_id NOT IN (SELECT id FROM {USERS_STANDIN_SQL})""")
+    return activated_follows(users_standin(spark, sf), ORDERS_PRE_END, ORDERS_PEAK_END, GrowthParams(seed=S))
+
+
+@register("fk_orphans", """
+SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_partkey IS NOT NULL AND l_partkey NOT IN (SELECT s_suppkey FROM supplier)""")
 def q_fk_orphans(spark, sf):
-    from spikeloom.operators.checks import check_foreign_key
-    ev = read_table(spark, sf, "events").select("event_id", "user_id")
-    return check_foreign_key(ev, "user_id", users_standin(spark, sf), "id")
+    """E6 / J2 with hits: part keys looked up among supplier keys, most of which don't exist there."""
+    li = read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    return check_foreign_key(li, "l_partkey", read_table(spark, sf, "supplier"), "s_suppkey")
 
 
 @register("active_users", f"""
@@ -102,10 +86,10 @@ def q_active_users(spark, sf):
 
 
 @register("inactive_users", """
-SELECT c_custkey AS id FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)""")
+SELECT c_custkey AS id FROM customer c WHERE NOT EXISTS (SELECT 1 FROM events e WHERE e.user_id = c.c_custkey)""")
 def q_inactive_users(spark, sf):
     c = read_table(spark, sf, "customer").select(F.col("c_custkey").alias("id"))
-    return E.inactive_in(c, "id", read_table(spark, sf, "orders"), "o_custkey")
+    return E.inactive_in(c, "id", read_table(spark, sf, "events"), "user_id")
 
 
 @register("lookup_author", """
@@ -122,18 +106,22 @@ SELECT DISTINCT l_suppkey AS a, l_partkey AS b FROM lineitem x
 WHERE EXISTS (SELECT 1 FROM lineitem y WHERE y.l_suppkey = x.l_partkey AND y.l_partkey = x.l_suppkey)""")
 def q_reversed_edges(spark, sf):
     e = read_table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("a"), F.col("l_partkey").alias("b"))
-    return E.reversed_edges(e, "a", "b").distinct()
+    return E.reversed_edges(e, "a", "b")
 
 
 _N = count_sql("customer")
-_E = f"(2 * {_N})"
-_UE = ",\n".join(unique_edges_ctes("ue", S, "edges", _E, _N, 2.0, POWER_LAW_80_20, 1))
+_UE = f"""ue AS (SELECT a, b, min(cid) AS cid FROM (
+   SELECT o_orderkey AS cid, o_custkey AS a, {power_law_id_sql(draw_uniform_sql(S, 'edges', 'o_orderkey'), _N, POWER_LAW_80_20, 0)} AS b FROM orders)
+ WHERE a <> b GROUP BY a, b ORDER BY cid LIMIT {_N})"""
 
 
 def _edges(spark, sf):
+    """The first n distinct pairs (n: customers) of each order's customer with a popular one."""
     n = read_table(spark, sf, "customer").count()
-    return unique_edges(spark, 2 * n, n, S, "edges",
-                        lambda u: power_law_id(u, n, 2.0), lambda u: power_law_id(u, n, POWER_LAW_80_20))
+    cands = read_table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("cid"), F.col("o_custkey").alias("a"),
+        power_law_id(draw_uniform(S, "edges", "o_orderkey"), n, POWER_LAW_80_20, 0).alias("b"))
+    return first_n_by(distinct_pairs(cands), "cid", n)
 
 
 @register("unique_edges", f"WITH {_UE}\nSELECT a, b, cid FROM ue")

@@ -92,9 +92,3 @@ def q_posts_per_user(spark, sf):
                      .cast("timestamp_ntz"))
     rows = T.expand_counts(u.select("id", "n", "post_date"), "n", chunk_rows=1_000_000, offset="k")
     return rows.select(F.col("id").alias("user_id"), "k", "post_date")
-
-
-@register("row_source", """
-SELECT unnest(range(1, (SELECT count(*) FROM customer) + 1)) AS id""")
-def q_row_source(spark, sf):
-    return T.row_source(spark, read_table(spark, sf, "customer").count())

@@ -44,10 +44,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by `spark.checkpoint.dir`.
 
     On a cluster this is set by whoever runs the job (a shared file system path). Only when it
-    is unset (local tests) do we pick a fresh local folder.
+    is unset and the master is local (tests) do we pick a fresh local folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="spikeloom-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:

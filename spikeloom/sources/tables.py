@@ -58,23 +58,6 @@ USERS_STANDIN_SQL = """(SELECT c.c_custkey AS id, c.c_name AS username, c.c_mkts
      ON f.o_custkey = c.c_custkey)"""
 
 
-def posts_standin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """posts from orders: order key, customer as author, status, order date."""
-    return read_table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("id"),
-        F.col("o_orderpriority").alias("title"),
-        F.lit(None).cast("string").alias("body"),
-        F.col("o_custkey").alias("user_id"),
-        F.col("o_orderstatus").alias("status"),
-        F.col("o_orderdate").alias("created_at"),
-    )
-
-
-POSTS_STANDIN_SQL = """(SELECT o_orderkey AS id, o_orderpriority AS title, CAST(NULL AS VARCHAR) AS body,
-        o_custkey AS user_id, o_orderstatus AS status, o_orderdate AS created_at
-   FROM orders)"""
-
-
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Cast to a declared schema, column order included."""
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
