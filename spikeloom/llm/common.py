@@ -46,10 +46,25 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def named(names) -> list[Column]:
+    """Columns by their exact names, dots included."""
+    return [F.col(f"`{c}`") for c in names]
+
+
+def wrapped(docs: DataFrame, *cols: Column | str) -> DataFrame:
+    """The whole row as ``__doc`` beside the given columns: no name of the input can clash."""
+    return docs.select(F.struct(*named(docs.columns)).alias("__doc"), *cols)
+
+
+def unwrapped(df: DataFrame, docs: DataFrame) -> DataFrame:
+    """Back to the columns of ``docs``."""
+    return df.select(*[F.col("__doc").getField(c).alias(c) for c in docs.columns])
+
+
 ROW_KEYS = ("__row_key_1", "__row_key_2")
 
 
-def row_keys(docs: DataFrame) -> DataFrame:
-    """Adds two hashes over id and text: 128 bits that tell rows apart, never null."""
-    one = F.xxhash64("doc_id", "text")
-    return docs.withColumn(ROW_KEYS[0], one).withColumn(ROW_KEYS[1], F.xxhash64(F.lit(1), "text", "doc_id"))
+def row_keys() -> tuple[Column, Column]:
+    """Two hashes over id and text: 128 bits that tell rows apart, never null."""
+    return (F.xxhash64("doc_id", "text").alias(ROW_KEYS[0]),
+            F.xxhash64(F.lit(1), "text", "doc_id").alias(ROW_KEYS[1]))

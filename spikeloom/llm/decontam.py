@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spikeloom.llm.common import ascii_lower, cut, table, text_of, words
+from spikeloom.llm.common import ascii_lower, cut, table, text_of, unwrapped, words, wrapped
 
 BROADCAST_ROWS = 500_000    # benchmark shingles (24 bytes each) broadcast at a time
 
@@ -145,9 +145,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 def clean(docs: DataFrame, benchmark: DataFrame, p: Leak = Leak()) -> DataFrame:
     """Documents without a leak, all columns kept."""
     bad = leaks(docs, benchmark, p=p).select(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).distinct()
-    d = docs.withColumn("__text_key", F.xxhash64(text_of("text")))
-    same = (d["__text_key"] == bad["__key"]) & d["doc_id"].eqNullSafe(bad["__id"])
-    return d.join(bad, same, "left_anti").drop("__text_key")
+    d = wrapped(docs, F.col("doc_id").alias("__doc_id"), F.xxhash64(text_of("text")).alias("__text_key"))
+    same = (d["__text_key"] == bad["__key"]) & d["__doc_id"].eqNullSafe(bad["__id"])
+    return unwrapped(d.join(bad, same, "left_anti"), docs)
 
 
 def op9(spark, sf_dir):

@@ -6,8 +6,8 @@ of the rules that fired) and ``kept``. Everything is built-in expressions over o
 shuffle, no join, no user function. All ratios are compared as integers
 (``100 * signal > limit * base``), so nothing depends on floating point.
 
-Defined results: a null text counts as empty (no words, not kept); extra columns pass through;
-repeated rows are judged one by one; an empty table gives an empty table.
+Defined results: a null text counts as empty (no words, not kept); extra columns pass through
+(those named like an output are replaced); repeated rows are judged one by one; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -17,10 +17,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spikeloom.llm.common import ascii_lower, text_of, words
+from spikeloom.llm.common import ascii_lower, named, text_of, unwrapped, words, wrapped
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
+SIGNALS = ("n_words", "word_chars", "n_symbols", "n_exclaims", "n_stop_words", "n_lines", "n_dup_lines",
+           "n_bullets", "n_ellipses", "n_repeat_words")
 # common function words of the four languages the default table is meant for
 STOP_WORDS = (
     "the", "of", "and", "to", "a", "in", "is", "that", "it", "for", "was", "on", "with", "be",
@@ -76,7 +78,7 @@ def _covered(z: Column) -> Column:
 def quality_signals(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_exclaims, n_stop_words, n_lines, n_dup_lines,
     n_bullets, n_ellipses and n_repeat_words (all long)."""
-    keep = [c for c in docs.columns]
+    keep = [c for c in docs.columns if c not in (*SIGNALS, "base_failed", "failed", "kept")]
     t = text_of(F.col(text_col))
     d = docs.withColumn("__t", t)
     d = d.withColumn("__w", words(F.col("__t")))
@@ -91,7 +93,7 @@ def quality_signals(docs: DataFrame, text_col: str = "text") -> DataFrame:
         F.transform("__h", lambda h, i: F.struct(h.alias("h"), i.alias("p"))))))
     n_lines = F.size("__lines")
     return d.select(
-        *keep,
+        *named(keep),
         n.cast("long").alias("n_words"),
         F.length(F.translate("__t", " \t\n\x0b\x0c\r", "")).cast("long").alias("word_chars"),
         (F.length("__t") - F.length(F.translate("__t", SYMBOLS, ""))).cast("long").alias("n_symbols"),
@@ -132,7 +134,8 @@ def passing(docs: DataFrame) -> DataFrame:
     optimizer from moving the filter below the projections, where it would expand every signal
     into every place that uses it."""
     verdict = F.col("kept") & (F.monotonically_increasing_id() >= 0)
-    return judge(docs).withColumn("__passes", verdict).where("__passes").select(*docs.columns)
+    judged = judge(wrapped(docs, "text"))
+    return unwrapped(judged.withColumn("__passes", verdict).where("__passes"), docs)
 
 
 def op6(spark, sf_dir):

@@ -11,7 +11,7 @@ value pasted into a third of all rows is folded before the shuffle; the way back
 hash against one row per hash, split by adaptive skew handling.
 
 Defined results: a null text has no secrets; a null owner or repository counts as one of its
-own; repeated rows are reported one by one.
+own; repeated rows are reported one by one; input columns named like an output are replaced.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spikeloom.llm.common import ROW_KEYS, cut, row_keys, table, text_of
+from spikeloom.llm.common import ROW_KEYS, cut, named, row_keys, table, text_of, unwrapped, wrapped
 
 # fixed values: kinds in order, pattern, group that holds the value, least length of that group
 KINDS = (
@@ -58,6 +58,7 @@ def _spans(text: Column, hits: str, parts: str, values: str, kind: int, least: i
 def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Adds ``found``: array of (start, kind number, stop, value) by start, then kind. Leftmost
     matches of a kind that don't overlap; start and stop in code points, stop exclusive."""
+    docs = docs.drop("found")
     d = docs.withColumn("__t", text_of(text_col))
     for k, (_, pattern, group, _) in enumerate(KINDS):
         d = d.withColumn(f"__v{k}", F.regexp_extract_all("__t", F.lit(pattern), group))
@@ -69,7 +70,7 @@ def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
         d = d.withColumn(f"__p{k}", F.when(some, F.transform(F.split("__t", pattern), F.length)).otherwise(empty))
     found = [_spans(F.col("__t"), f"__h{k}", f"__p{k}", f"__v{k}", k, least) for k, (_, _, _, least) in enumerate(KINDS)]
     d = d.withColumn("found", F.sort_array(F.concat(*found)))
-    return d.select(*docs.columns, "found")
+    return d.select(*named(docs.columns), "found")
 
 
 def span_text(found: Column) -> Column:
@@ -111,7 +112,7 @@ def scan_corpus(docs: DataFrame, text_col: str = "text", owner: str = "source",
     The scan's result (no texts) is checkpointed, so texts are read once; only rows with spans
     take part in the join."""
     repo_key = F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in repo])
-    rows = scan(docs, text_col).drop(text_col).withColumn("__row", F.monotonically_increasing_id())
+    rows = scan(docs.drop("n_live", "n_copied", "__row", "__repo"), text_col).drop(text_col).withColumn("__row", F.monotonically_increasing_id())
     rows = cut(rows.withColumn("__repo", repo_key))
     some = rows.where(F.size("found") > 0)
     spans = classify(some, F.col(owner), F.col("__repo"), p)
@@ -125,9 +126,9 @@ def scan_corpus(docs: DataFrame, text_col: str = "text", owner: str = "source",
 
 def without_live(docs: DataFrame, p: Ownership = Ownership()) -> DataFrame:
     """Documents that hold no live credential, all columns kept."""
-    keyed = row_keys(docs)
-    found = scan_corpus(keyed.select(*ROW_KEYS, "text", "source", "lang"), p=p).where("n_live > 0")
-    return keyed.join(found.select(*ROW_KEYS), list(ROW_KEYS), "left_anti").drop(*ROW_KEYS)
+    found = scan_corpus(docs.select(*row_keys(), "text", "source", "lang"), p=p).where("n_live > 0")
+    keyed = wrapped(docs, *row_keys())
+    return unwrapped(keyed.join(found.select(*ROW_KEYS), list(ROW_KEYS), "left_anti"), docs)
 
 
 def op4(spark, sf_dir):

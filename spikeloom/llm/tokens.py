@@ -1,15 +1,18 @@
 """Token counts (operator 3): map-side two-tier lookup of pre-token lengths.
 
-A byte-level BPE encodes each pre-token by itself, so a text has the sum of its pre-tokens' token
-counts. Tier one is a compact table of the corpus's most frequent pre-tokens (count over all
-documents: every task keeps a bounded summary, only the summaries meet), encoded once and
-broadcast; its size is bounded by ``table_size``. Tier two is a cache in every Python worker,
-filled by encoding what the table misses. Pre-tokens themselves are never shuffled, and the
+A byte-level BPE encodes each pre-token by itself, and its pattern never joins what a single space parts
+(a pre-token holds a space at its start only). So a text has the sum of the token counts of its parts
+between single spaces, each taken with its leading space; most parts are one pre-token. Tier one is a
+compact table of the corpus's most frequent parts (counted over all documents: every task keeps a
+bounded summary, only the summaries meet), encoded once and broadcast; its size is bounded by
+``table_size``. Tier two is a cache in every Python worker: a part that neither holds is cut into
+pre-tokens, those not cached are encoded by the library. Parts themselves are never shuffled, and the
 tables only save work: a result never depends on them.
 
 Texts that hold one of the tokenizer's special strings are encoded whole by the library, which
-treats the string by its default. Defined results: a null text is empty (0 bytes, 0 tokens);
-extra columns pass through; repeated rows are counted one by one.
+treats the string by its default; texts with a space beside two other blanks, or at the end, are cut
+by the pattern alone. Defined results: a null text is empty (0 bytes, 0 tokens); extra columns pass through
+(those named like an output are replaced); repeated rows are counted one by one.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spikeloom.llm.common import table, text_of
+from spikeloom.llm.common import named, table, text_of
 
 # Spark ships these functions with their code, so workers need no copy of this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -32,13 +35,14 @@ TOKENIZER = "byte_bpe_50k.json"
 # fixed value: the pre-token pattern of the byte-level tokenizer files
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 TABLE_SIZE = 32_768
-SUMMARY_SIZE = 4_096        # pre-tokens a task reports at most
-WATCHED = 200_000           # pre-tokens a task counts at a time
-CACHE_SIZE = 500_000        # misses a worker remembers at a time
+SUMMARY_SIZE = 4_096        # parts a task reports at most
+WATCHED = 200_000           # parts a task counts at a time
+CACHE_SIZE = 1_000_000      # parts and pre-tokens a worker remembers at a time
+LONG = 64                   # longer ones are not remembered
 
 
 def _worker(path: str):
-    """Tokenizer, special strings, pre-token splitter and miss cache of this worker, made once."""
+    """Tokenizer, special strings, pattern and caches of this worker, made once."""
     home = sys.modules.setdefault("_spikeloom_token_worker", types.ModuleType("_spikeloom_token_worker"))
     if getattr(home, "path", None) != path:
         import json
@@ -47,68 +51,94 @@ def _worker(path: str):
         home.tokenizer = Tokenizer.from_file(path)
         home.special = [t["content"] for t in json.loads(home.tokenizer.to_str())["added_tokens"]]
         home.split = regex.compile(PATTERN).findall
-        home.cache = {}
+        home.blank = regex.compile(r"\s \s").search
+        home.parts, home.pieces = {}, {}
         home.path = path
     return home
 
 
-def _lengths(tokenizer, pieces: list[str]) -> list[int]:
-    return [len(e) for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+def _lengths(tokenizer, texts: list[str]) -> list[int]:
+    return [len(e) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
-def _summaries(path: str):
-    """Arrow task: the most frequent pre-tokens of the task's texts with their counts."""
+def _by_pattern(w, texts: list[str]) -> list[int]:
+    """Token counts of texts without special strings, by their pre-tokens; new ones are encoded once."""
+    cut = [w.split(t) for t in texts]
+    known = w.pieces
+    new = list({p for one in cut for p in one if p not in known})
+    if new:
+        if len(known) + len(new) > CACHE_SIZE:
+            known = {}
+            new = list({p for one in cut for p in one})
+        known.update(zip(new, _lengths(w.tokenizer, new)))
+        w.pieces = known
+    return [sum(map(known.__getitem__, one)) for one in cut]
+
+
+def _plain(w, text: str) -> bool:
+    """Whether every single space parts two words, or a word and other white space on one side only."""
+    return "  " not in text and not text.endswith(" ") and not w.blank(text)
+
+
+def _summaries():
+    """Arrow task: the most frequent parts of the task's texts with their counts."""
     def run(batches):
-        w, seen = _worker(path), Counter()
+        seen: Counter = Counter()
         for b in batches:
             for t in b.column(0).to_pylist():
-                seen.update(w.split(t))
+                seen.update(t.split(" ")[1:])
                 if len(seen) > WATCHED:
                     seen = Counter(dict(seen.most_common(WATCHED // 2)))
-        top = seen.most_common(SUMMARY_SIZE)
+        top = [(p, n) for p, n in seen.most_common(SUMMARY_SIZE) if p and len(p) <= LONG]
         yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in top], pa.string()),
-                                          pa.array([n for _, n in top], pa.int64())], ["piece", "n"])
+                                          pa.array([n for _, n in top], pa.int64())], ["part", "n"])
     return run
 
 
 def frequent_lengths(docs: DataFrame, path: str, text_col: str = "text", table_size: int = TABLE_SIZE) -> dict[str, int]:
-    """Token counts of the ``table_size`` most frequent pre-tokens of all documents. The only rows
-    shuffled are the tasks' bounded summaries; the result is bounded by the parameter."""
-    parts = docs.select(text_of(text_col).alias("t")).mapInArrow(_summaries(path), "piece string, n long")
-    top = (parts.groupBy("piece").agg(F.sum("n").alias("n"))
-           .orderBy(F.desc("n"), "piece").limit(table_size).select("piece").collect())
-    pieces = [r[0] for r in top]
-    return dict(zip(pieces, _lengths(_worker(path).tokenizer, pieces)))
+    """Token counts of the ``table_size`` most frequent parts of all documents, each with the space
+    before it. The only rows shuffled are the tasks' bounded summaries; the result is bounded by the
+    parameter."""
+    parts = docs.select(text_of(text_col).alias("t")).mapInArrow(_summaries(), "part string, n long")
+    top = (parts.groupBy("part").agg(F.sum("n").alias("n"))
+           .orderBy(F.desc("n"), "part").limit(table_size).select("part").collect())
+    w = _worker(path)
+    known = [r[0] for r in top if not any(s in f" {r[0]}" for s in w.special)]
+    return dict(zip(known, _by_pattern(w, [f" {p}" for p in known])))
+
+
+def _count(w, table: dict[str, int], text: str) -> int:
+    if any(s in text for s in w.special):
+        return len(w.tokenizer.encode(text, add_special_tokens=False))
+    if not _plain(w, text):
+        return _by_pattern(w, [text])[0]
+    first, *parts = text.split(" ")
+    n, missed = 0, [first]
+    found = list(map(table.get, parts))
+    if None in found:
+        cache, rest = w.parts, [p for p, k in zip(parts, found) if k is None]
+        n = sum(k for k in found if k is not None)
+        found = list(map(cache.get, rest))
+        if None in found:
+            missed += [f" {p}" for p, k in zip(rest, found) if k is None]
+            n += sum(k for k in found if k is not None)
+        else:
+            n += sum(found)
+    else:
+        n = sum(found)
+    lengths = _by_pattern(w, missed)
+    if len(w.parts) + len(missed) > CACHE_SIZE:
+        w.parts = {}
+    w.parts.update((p[1:], k) for p, k in zip(missed[1:], lengths[1:]) if len(p) <= LONG)
+    return n + sum(lengths)
 
 
 def _counter(path: str, shared):
     """Arrow task: appends n_tokens to each batch; the text is its last column and goes."""
     def run(batches):
-        w, known = _worker(path), shared.value
+        w, table = _worker(path), shared.value
         for b in batches:
-            out = []
-            for t in b.column(b.num_columns - 1).to_pylist():
-                if any(s in t for s in w.special):
-                    out.append(len(w.tokenizer.encode(t, add_special_tokens=False)))
-                    continue
-                pieces = w.split(t)
-                n, missed = 0, []
-                for piece in pieces:
-                    k = known.get(piece)
-                    if k is None:
-                        k = w.cache.get(piece)
-                        if k is None:
-                            missed.append(piece)
-                            continue
-                    n += k
-                if missed:
-                    new = list(set(missed))
-                    fresh = dict(zip(new, _lengths(w.tokenizer, new)))
-                    n += sum(map(fresh.__getitem__, missed))
-                    if len(w.cache) + len(fresh) > CACHE_SIZE:
-                        w.cache.clear()
-                    w.cache.update((p, k) for p, k in fresh.items() if len(p) <= 64)
-                out.append(n)
+            out = [_count(w, table, t) for t in b.column(b.num_columns - 1).to_pylist()]
             cols = [*b.columns[:-1], pa.array(out, pa.int64())]
             yield pa.RecordBatch.from_arrays(cols, [*b.schema.names[:-1], "n_tokens"])
     return run
@@ -117,11 +147,13 @@ def _counter(path: str, shared):
 def count_tokens(docs: DataFrame, path: str, text_col: str = "text", table_size: int = TABLE_SIZE) -> DataFrame:
     """All columns but the text, n_bytes and n_tokens."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent_lengths(docs, path, text_col, table_size))
-    rest = [c for c in docs.columns if c != text_col]
+    rest = [c for c in docs.columns if c not in (text_col, "n_bytes", "n_tokens")]
     t = text_of(text_col)
-    rows = docs.select(*rest, F.octet_length(t).cast("long").alias("n_bytes"), t.alias("__text"))
-    schema = rows.drop("__text").withColumn("n_tokens", F.lit(0).cast("long")).schema
-    return rows.mapInArrow(_counter(path, shared), schema)
+    # plain names on the way through Arrow: it takes no dots
+    plain = [c.alias(f"c{i}") for i, c in enumerate(named(rest))]
+    rows = docs.select(*plain, F.octet_length(t).cast("long").alias("n_bytes"), t.alias("text"))
+    schema = rows.drop("text").withColumn("n_tokens", F.lit(0).cast("long")).schema
+    return rows.mapInArrow(_counter(path, shared), schema).toDF(*rest, "n_bytes", "n_tokens")
 
 
 def op3(spark, sf_dir, path: str | None = None):
