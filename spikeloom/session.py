@@ -19,6 +19,8 @@ LOCAL_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoints of frames that are gone are removed
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # small dimension tables (per-day counts, periods) are broadcast; anything bigger shuffles
     "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
 }
