@@ -6,6 +6,7 @@ activated by orders. Each query builds only what it reads.
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import functions as F
@@ -19,7 +20,8 @@ from spikeloom.plans.enrich import (
     Story, build_follows, build_follows_sql, build_posts, build_posts_sql, build_users, build_users_sql)
 from spikeloom.plans.registry import register
 from spikeloom.functions.text import TEXT_CTE_SQL
-from spikeloom.sources.tables import USERS_STANDIN_SQL, read_table, users_standin
+from spikeloom.session import checkpoint_dir
+from spikeloom.sources.tables import USERS_STANDIN_SQL, read_table, register_views, users_standin, write_parquet
 
 STORY = Story(peak_start=date(1996, 1, 1), peak_end=date(1996, 3, 1))
 TL = Timeline(viral_start=STORY.peak_start, peak_days=(STORY.peak_end - STORY.peak_start).days)
@@ -66,6 +68,17 @@ def q_build_users(spark, sf):
     return build_users(people(spark, sf), STORY)
 
 
+@register("users_written_and_read", f"""WITH {_USERS}
+SELECT id, role, created_at, strftime(created_at, '%Y-%m') AS month FROM users""")
+def q_users_written_and_read(spark, sf):
+    """Users as parquet by month in the shared folder, read back through a view."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/users-{uuid.uuid4().hex}"
+    users = build_users(people(spark, sf), STORY)
+    write_parquet(users.withColumn("month", F.date_format("created_at", "yyyy-MM")), path, partition_by=["month"])
+    register_views(spark, {"written_users": spark.read.parquet(path)})
+    return spark.sql("SELECT id, role, created_at, month FROM written_users")
+
+
 @register("build_posts", f"WITH {_POSTS}\nSELECT * FROM posts")
 def q_build_posts(spark, sf):
     return build_posts(rows_of(spark, sf), STORY)
