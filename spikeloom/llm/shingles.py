@@ -14,7 +14,7 @@ from pyspark import cloudpickle
 # Spark ships these functions with their code, so workers need no copy of this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-BLOCK = 4 << 20
+BLOCK = 2 << 20
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 
@@ -109,6 +109,13 @@ def shingle_sets(texts: list[bytes], k: int, tables: dict) -> tuple[np.ndarray,
     return o[new], v[new]
 
 
+def pieces(batches, rows: int = 1_000):
+    """The batches in slices of at most ``rows`` rows: Python objects exist for one slice at a time."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def blocks(sizes, most: int = BLOCK):
     """Ranges of consecutive items of about ``most`` bytes; a longer item is a range of its own."""
     at, total, n = 0, 0, 0

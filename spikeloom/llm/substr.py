@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from spikeloom.llm import shingles as S
 from spikeloom.llm.common import table
-from spikeloom.llm.neardup import stored
+from spikeloom.llm.neardup import content_key, packed_forms, stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -51,12 +51,6 @@ class Repeats:
 
 # ---------------------------------------------------------------- runs
 
-def _content(form: bytes) -> tuple[str, int, int]:
-    d = hashlib.sha256(form)
-    raw = d.digest()
-    return d.hexdigest(), int.from_bytes(raw[:8], "big", signed=True), int.from_bytes(raw[8:16], "big", signed=True)
-
-
 def smallest(values: np.ndarray, w: int) -> np.ndarray:
     """Position of the leftmost smallest value in each w consecutive values (by their upper 40 bits)."""
     low = np.uint64((1 << 24) - 1)
@@ -93,9 +87,10 @@ def text_runs(h: np.ndarray, p: Repeats):
 def _run_task(p: Repeats):
     def run(batches):
         tables: dict = {}
-        for b in batches:
+        for b in S.pieces(batches):
             forms = [S.normal(t, lower=False) for t in b.column("text").to_pylist()]
-            keys = [_content(f) for f in forms]
+            keys = [content_key(f) for f in forms]
+            shas = [hashlib.sha256(f).hexdigest() for f in forms]
             n_words = [f.count(b" ") + 1 if f else 0 for f in forms]
             parts: list = [[], [], [], []]
             lengths = []
@@ -112,36 +107,12 @@ def _run_task(p: Repeats):
             lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(x) if x else np.zeros(0, t), pa.from_numpy_dtype(t)))
                      for x, t in zip(parts, (np.int64, np.int64, np.int32, np.int32))]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([k[1] for k in keys], pa.int64()), pa.array([k[2] for k in keys], pa.int64()),
-                 pa.array(n_words, pa.int64()), pa.array([k[0] for k in keys], pa.string()), *lists],
+                [b.column("doc_id"), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()),
+                 pa.array(n_words, pa.int64()), pa.array(shas, pa.string()), *lists],
                 ["doc_id", "k1", "k2", "n_words", "sha", "anchors", "segs", "firsts", "counts"])
     return run
 
 
-def _form_task():
-    """Content key and packed normal form of each text, once per batch."""
-    def run(batches):
-        for b in batches:
-            seen: dict = {}
-            for t in b.column("text").to_pylist():
-                form = S.normal(t, lower=False)
-                if form:
-                    key = _content(form)[1:]
-                    if key not in seen:
-                        seen[key] = zlib.compress(form, 1)
-            keys = list(seen)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()),
-                 pa.array([seen[k] for k in keys], pa.binary())], ["k1", "k2", "packed"])
-    return run
-
-
-def _forms(source: DataFrame) -> DataFrame:
-    """One packed normal form per content key (k1, k2)."""
-    t = source.select("text").mapInArrow(_form_task(), "k1 long, k2 long, packed binary")
-    return t.groupBy("k1", "k2").agg(F.first("packed").alias("packed"))
-
-
 # ---------------------------------------------------------------- FM-index
 
 class FMIndex:
@@ -247,7 +218,7 @@ def _shard_task(p: Repeats):
 def _segment_task(p: Repeats):
     """Cuts the wanted segments out of each text; hot ones window by window, by the window's hash."""
     def run(batches):
-        for b in batches:
+        for b in S.pieces(batches):
             out: list = []
             for row, packed, wanted in zip(b.column("row").to_pylist(), b.column("packed").to_pylist(), b.column("wanted").to_pylist()):
                 words = zlib.decompress(packed).split(b" ")
@@ -279,7 +250,7 @@ def merged(parts: list[dict]) -> list[list[int]]:
 
 def _merge_task():
     def run(batches):
-        for b in batches:
+        for b in S.pieces(batches):
             spans = [merged(x) for x in b.column("parts").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column("row"), pa.array([sum(y - x for x, y in s) for s in spans], pa.int64()),
@@ -289,7 +260,7 @@ def _merge_task():
 
 def _kept_task():
     def run(batches):
-        for b in batches:
+        for b in S.pieces(batches):
             out = []
             for packed, spans in zip(b.column("packed").to_pylist(), b.column("spans").to_pylist()):
                 words = zlib.decompress(packed).split(b" ")
@@ -307,7 +278,8 @@ def repeated_spans(rows: DataFrame, source: DataFrame, p: Repeats) -> DataFrame:
     """(row, a, b): word intervals whose windows of ``p.window`` words occur elsewhere too. Rows with
     no such interval are absent; intervals of a row may overlap."""
     counts = rows.select(F.explode("anchors").alias("anchor")).groupBy("anchor").agg(F.count(F.lit(1)).alias("c"))
-    repeated = counts.where("c > 1").select("anchor")
+    # stored, so the join below has plain shuffles on both sides and a hot anchor's runs can be split
+    repeated = stored(counts.where("c > 1").select("anchor"))
     runs = rows.select("row", F.explode(F.arrays_zip("anchors", "segs", "firsts", "counts")).alias("r")).select(
         F.col("r.anchors").alias("anchor"), F.col("r.segs").alias("seg"), "row",
         F.col("r.firsts").alias("first"), F.col("r.counts").alias("n"))
@@ -318,7 +290,7 @@ def repeated_spans(rows: DataFrame, source: DataFrame, p: Repeats) -> DataFrame:
         "row", F.col("first").alias("a"), (F.col("first") + F.col("n") + p.window - 1).alias("b"))
     # single segments are searched among all distinct segments of their anchor
     groups = segs.groupBy("anchor").agg(F.min("c").alias("least"), F.count(F.lit(1)).alias("k"))
-    groups = groups.where("least = 1 AND k > 1").select("anchor", (F.col("k") > p.hot).alias("hot"))
+    groups = stored(groups.where("least = 1 AND k > 1").select("anchor", (F.col("k") > p.hot).alias("hot")))
     wanted = segs.join(groups, "anchor").select(
         F.col("at.row").alias("row"), F.struct("anchor", F.col("at.first").alias("first"), "n", "hot",
                                                (F.col("c") == 1).alias("single")).alias("w"))
@@ -326,7 +298,7 @@ def repeated_spans(rows: DataFrame, source: DataFrame, p: Repeats) -> DataFrame:
     total = wanted.select(F.explode("wanted").alias("w")).agg(F.sum(F.when(
         F.col("w.hot"), F.col("w.n") * p.window).otherwise(F.col("w.n") + p.window - 1))).first()[0] or 0
     shards = max(1, -(-int(total) // p.shard_words))
-    texts = wanted.join(rows.select("row", "k1", "k2"), "row").join(_forms(source), ["k1", "k2"])
+    texts = wanted.join(rows.select("row", "k1", "k2"), "row").join(packed_forms(source.select("text"), lower=False), ["k1", "k2"])
     cut_out = texts.select("row", "packed", "wanted").mapInArrow(
         _segment_task(p), "place long, row long, start int, single boolean, words binary")
     found = cut_out.groupBy(F.pmod(F.xxhash64("place"), F.lit(shards)).alias("shard")).applyInArrow(
@@ -351,7 +323,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         "doc_id", "n_words", "n_removed", "spans",
         F.when(F.col("n_removed") == 0, F.col("sha")).otherwise(F.sha2(F.lit(""), 256)).alias("kept_sha256"))
     # equal texts that hold a window are removed as a whole, so the others have a key of their own
-    some = plain.where("n_removed > 0 AND n_removed < n_words").join(_forms(source), ["k1", "k2"])
+    some = plain.where("n_removed > 0 AND n_removed < n_words").join(packed_forms(source.select("text"), lower=False), ["k1", "k2"])
     some = some.select("doc_id", "n_words", "n_removed", "spans", "packed").mapInArrow(
         _kept_task(), f"doc_id {id_type}, n_words long, n_removed long, spans array<int>, kept_sha256 string")
     return ends.unionByName(some)
