@@ -322,7 +322,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     whole = large.join(forms.select("node", "packed"), "node").groupBy("key", "lo", "hi").applyInArrow(_block_task(p), "a long, b long")
     comps = merged(comps, found.union(whole))
     least = contents.select("node", "least", "k1", "k2").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    ends = least.groupBy("comp").agg(F.min("least").alias("component_id"))
+    # stored, so a component with very many nodes can be split in the join
+    ends = stored(least.groupBy("comp").agg(F.min("least").alias("component_id")))
     classes = stored(least.join(ends, "comp").select("k1", "k2", "component_id", F.col("comp").alias("component")))
     out = rows.select("doc_id", *carry, "k1", "k2", "n_shingles").join(classes, ["k1", "k2"], "left")
     comp = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))

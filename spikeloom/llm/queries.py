@@ -6,10 +6,11 @@ are not SQL; tests/llm holds them against the library, brute force or their laws
 
 from __future__ import annotations
 
-from spikeloom.llm import decontam, neardup, packing, quality, secrets, shards, substr, tokens, urls
+from spikeloom.llm import decontam, neardup, packing, quality, secrets, shards, substr, tokens, urls, warc
 
 QUERIES = {
     "op1_minhash_near_dedup": neardup.op1,
+    "op2_warc_revisits": warc.op2,
     "op3_token_counts": tokens.op3,
     "op4_secret_scans": secrets.op4,
     "op5_substring_dedup": substr.op5,
@@ -21,6 +22,7 @@ QUERIES = {
 }
 ORACLES = {
     "op1_minhash_near_dedup": neardup.OP1_SQL,
+    "op2_warc_revisits": warc.OP2_SQL,
     "op4_secret_scans": secrets.OP4_SQL,
     "op5_substring_dedup": substr.OP5_SQL,
     "op6_quality_rules": quality.OP6_SQL,
