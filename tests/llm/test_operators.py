@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from spikeloom.llm import decontam, neardup, packing, quality, secrets, shards, shingles, substr, tokens, urls
+from spikeloom.llm import decontam, neardup, packing, quality, secrets, shards, shingles, substr, tokens, urls, warc
 from tests.conftest import SF_SMALL
 from tests.llm import brute
 
@@ -304,3 +304,42 @@ def test_sharding(spark, odd, empty, tmp_path):
     total = sum(r["bytes"] for r in second.collect())
     assert sum(r[0] or 0 for r in moved.agg(F.sum("a.bytes")).collect()) < 0.25 * total
     assert shards.read_map(spark, store, 1).count() == first.count()
+
+
+def captures(spark, rows):
+    return spark.createDataFrame(rows, "record_id long, url string, ts long, kind string, etag string, last_modified string, "
+                                 "digest string, headers map<string,string>, canonical_url string")
+
+
+def test_revisits(spark):
+    h = {"content-type": "text/html", "date": "d1", "etag": '"a"'}
+    rows = [(1, "http://www.Site.org/p/?utm_x=1&b=2&a=1#f", 10, "response", '"a"', "m1", "x", h, None),
+            (2, "https://site.org/p?a=1&b=2", 20, "response", '"b"', "m2", "y", {}, None),
+            (3, "site.org:443/p?b=2&a=1", 15, "revisit", 'W/"a"', None, None, {"date": "d2", "server": "s", "etag": 'W/"a"'}, None),
+            (4, "http://site.org/p?a=1&b=2", 30, "revisit", '"a"', "m2", None, None, None),
+            (5, "http://site.org/p?a=1&b=2", 30, "revisit", None, "m2", None, {"vary": "v"}, None),
+            (6, "http://site.org/p?a=1&b=2", 10, "revisit", '"a"', None, None, None, None),
+            (7, "http://else.org/", 99, "revisit", '"a"', None, None, None, None),
+            (8, None, 5, "response", None, None, None, {"x": "1"}, None), (9, None, 6, "revisit", None, None, None, None, None),
+            (10, "site.org/p?a=1&b=2", None, "revisit", '"a"', None, None, None, None),
+            (7, "http://else.org/", 99, "revisit", '"a"', None, None, None, None)]
+    for n in (1, 3, 256):
+        out = warc.resolve_revisits(captures(spark, rows), n).collect()
+        assert len(out) == 8
+        got = {r["record_id"]: (r["response_id"], r["verdict"], r["headers"]) for r in out}
+        assert got == {3: (1, "not_modified", {"content-type": "text/html", "date": "d2", "etag": 'W/"a"'}), 4: (2, "changed", None),
+                       5: (2, "not_modified", {"vary": "v"}), 6: (None, "missing", None), 7: (None, "missing", None),
+                       9: (8, "unchecked", {"x": "1"}), 10: (None, "missing", None)}
+    assert warc.resolve_revisits(captures(spark, [])).count() == 0
+
+
+def test_revisits_take_the_latest_earlier_response(spark):
+    rnd = random.Random(9)
+    rows = [(i, f"http://h.org/{rnd.choice('aaaab')}", rnd.randrange(300), rnd.choice(["response", "revisit"]), f'"{rnd.randrange(3)}"',
+             None, None, {}, None) for i in range(400)]
+    out = {r["record_id"]: (r["response_id"], r["verdict"]) for r in warc.resolve_revisits(captures(spark, rows), 16).collect()}
+    for i, url, ts, kind, etag, *_ in rows:
+        if kind == "revisit":
+            old = max(((r[2], r[0], r[4]) for r in rows if r[3] == "response" and r[1] == url and r[2] < ts), default=None)
+            want = (None, "missing") if old is None else (old[1], "not_modified" if old[2] == etag else "changed")
+            assert out[i] == want
