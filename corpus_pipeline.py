@@ -6,7 +6,6 @@ Every stage but the last returns the columns it was given; the last returns the
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from spikeloom.llm import decontam, neardup, packing, quality, secrets
 
@@ -33,7 +32,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every piece of every document with its place in a training sequence."""
-    return packing.pack(docs, packing.text_size(F.col("text")), packing.text_cluster(F.col("text")))
+    return packing.pack_texts(docs)
 
 
 STAGES = [

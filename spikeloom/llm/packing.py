@@ -7,6 +7,9 @@ neither their source nor their duplicate cluster. Bins are ordered by residual r
 bitmap of its sources and one of its clusters. The search starts at the smallest residual that fits
 and goes on to the next until a compatible bin is found, else a new one opens.
 
+A text's size is its real token count (operator 3) and one closing token, so no bin holds more tokens
+than ``capacity``; counts are stored before they are dealt, so every text is counted once.
+
 Defined results: a document's size counts one closing token, so null and empty texts are pieces
 of size 1; a null source or cluster conflicts with other nulls only; repeated rows are packed one by
 one; ties go by id (nulls first), then piece; extra columns are dropped.
@@ -22,7 +25,9 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spikeloom.llm import tokens
 from spikeloom.llm.common import ascii_lower, squeeze, table, text_of
+from spikeloom.llm.neardup import stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -107,7 +112,8 @@ def pack(docs: DataFrame, size: Column, cluster: Column, id_col: str = "doc_id",
 
 
 def text_size(text: Column) -> Column:
-    """Tokens a text is taken to need: a quarter of its UTF-8 bytes, and one to close it."""
+    """A rough size, a quarter of the UTF-8 bytes and one: below the real tokens of most texts, so
+    ``pack_texts`` does not use it."""
     return F.ceil(F.octet_length(text_of(text)) / 4) + 1
 
 
@@ -116,6 +122,16 @@ def text_cluster(text: Column) -> Column:
     return F.xxhash64(squeeze(ascii_lower(text_of(text))))
 
 
+def pack_texts(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text",
+               source_col: str = "source", capacity: int = CAPACITY, unit_rows: int = UNIT_ROWS) -> DataFrame:
+    """``pack`` by real size: the tokens of the tokenizer file at ``path`` and one to close the text."""
+    import public_tokenizers
+    text = F.col(text_col)
+    d = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), text_cluster(text).alias("cluster"),
+                    text.alias("text"))
+    counted = stored(tokens.count_tokens(d, path or public_tokenizers.path(tokens.TOKENIZER)))
+    return pack(counted, F.col("n_tokens") + 1, F.col("cluster"), capacity=capacity, unit_rows=unit_rows)
+
+
 def op8(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents", "doc_id", "text", "source")
-    return pack(docs, text_size(F.col("text")), text_cluster(F.col("text")))
+    return pack_texts(table(spark, sf_dir, "documents", "doc_id", "text", "source"))

@@ -276,6 +276,23 @@ def test_packing_awkward(odd, empty):
     assert packing.pack(empty, packing.text_size(F.col("text")), packing.text_cluster(F.col("text"))).count() == 0
 
 
+def test_packed_bins_hold_real_tokens(spark):
+    import corpus_pipeline
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    library = Tokenizer.from_file(public_tokenizers.path(tokens.TOKENIZER))
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    real = {r["doc_id"]: len(library.encode(r["text"] or "", add_special_tokens=False)) + 1 for r in docs.collect()}
+    for out in (packing.op8(spark, SF_SMALL), corpus_pipeline.best_fit_packing(spark, docs, SF_SMALL)):
+        sizes, bins = {}, {}
+        for r in out.collect():
+            sizes[r["doc_id"]] = sizes.get(r["doc_id"], 0) + r["n_tokens"]
+            held = max(0, min(packing.CAPACITY, real[r["doc_id"]] - r["piece"] * packing.CAPACITY))
+            bins[r["pack_id"]] = bins.get(r["pack_id"], 0) + held
+        assert max(bins.values()) <= packing.CAPACITY
+        assert sizes == real
+
+
 def test_sharding(spark, odd, empty, tmp_path):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     for df in (docs, odd, empty):
