@@ -1,15 +1,17 @@
 """Benchmark decontamination (operator 9): SimHash over item-sized windows.
 
-For a benchmark item of L words, windows of L consecutive words of a document are compared with it.
-A window can only be similar if it shares a shingle with the item, so windows are laid where a shared
-shingle aligns them (start = its place in the document less its place in the item, moved inside the
-document; a document shorter than the item is one window). Then
+For a benchmark item of L words, windows of L consecutive words of a document are compared with it
+(a document shorter than the item is one window). Shared shingles are summed by weight for every
+start of a window, as a running sum over the places where a shingle enters and leaves. A similar
+window shares at least ``percent`` of the item's weight, so a window is laid at every start whose sum
+reaches that of the lightest item of L words: none that can be similar is left out. Then
   fingerprint  64-bit SimHash of the window's distinct 5-word shingles, each weighing its length
   blocks       radius + 1 blocks of bits: two fingerprints within the radius agree on one block at
                least (pigeonhole), so the block join finds all of them
   verify       weighted Jaccard of the shingle sets, compared as integers, at ``percent`` or more
 
-Equal windows are fingerprinted and verified once however many documents hold them. Only DataFrame
+Windows are laid once per text and equal windows are fingerprinted and verified once, however many
+documents hold them. Only DataFrame
 operations. The shingles of the benchmark are broadcast in parts of at most ``BROADCAST_ROWS`` rows,
 one pass over the documents per part; everything else is a shuffle join.
 
@@ -22,9 +24,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from spikeloom.llm.common import ascii_lower, cut, table, text_of, unwrapped, words, wrapped
+from spikeloom.llm.neardup import stored
 
 BROADCAST_ROWS = 500_000    # benchmark shingles (24 bytes each) broadcast at a time
 
@@ -55,7 +59,7 @@ def _shingles(w: str, p: Leak) -> Column:
     return F.when(F.size(w) >= p.k, F.array_distinct(_grams(w, p.k))).otherwise(whole)
 
 
-def _weight(shingles: Column) -> Column:
+def _weight(shingles: Column | str) -> Column:
     return F.aggregate(shingles, F.lit(0).cast("long"), lambda a, s: a + F.length(s))
 
 
@@ -86,25 +90,61 @@ def _items(benchmark: DataFrame, p: Leak) -> DataFrame:
     return w.withColumn("n", F.size("w")).withColumn("shingles", _shingles("w", p))
 
 
-def _windows(docs: DataFrame, items: DataFrame, p: Leak) -> DataFrame:
-    """doc_id, key, start, n, win: windows that a shared shingle lays, n being the item's words."""
+def _shared(texts: DataFrame, items: DataFrame, p: Leak) -> DataFrame | None:
+    """k1, k2, n, pos, weight: places in a text of shingles that some item of n words has."""
     out = None
     for k in sorted(r[0] for r in items.select(F.least("n", F.lit(p.k))).distinct().collect()):
         sized = items.where(F.col("n") >= k) if k == p.k else items.where(F.col("n") == k)
-        grams = sized.select("n", F.posexplode_outer(_gram_hashes("w", k)).alias("o", "h")).distinct()
+        both = F.arrays_zip(_gram_hashes("w", k).alias("h"), F.transform(_grams("w", k), F.length).alias("weight"))
+        grams = sized.select("n", F.explode(both).alias("x")).select("n", F.col("x.h").alias("h"), F.col("x.weight").alias("weight"))
+        grams = cut(grams.groupBy("n", "h").agg(F.max("weight").cast("long").alias("weight")))
         parts = max(1, -(-grams.count() // BROADCAST_ROWS))
-        d = docs.withColumn("g", _gram_hashes("w", k))
+        d = texts.withColumn("w", words(ascii_lower(F.col("t")))).withColumn("g", _gram_hashes("w", k))
         # outer: the inner form would add a filter that computes the hashes once more
-        d = d.select("doc_id", "key", "w", F.posexplode_outer("g").alias("pos", "h"))
+        d = d.select("k1", "k2", F.posexplode_outer("g").alias("pos", "h"))
         for part in range(parts):
             some = grams.where(F.pmod("h", F.lit(parts)) == part)
-            hit = d.join(F.broadcast(some), "h")
-            size = F.size("w")
-            start = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("o"), size - F.col("n")))
-            hit = hit.select("doc_id", "key", "n", start.alias("start"), "w").select(
-                "doc_id", "key", "n", "start", F.array_join(F.slice("w", F.col("start") + 1, F.col("n")), " ").alias("win"))
+            hit = d.join(F.broadcast(some), "h").select("k1", "k2", "n", "pos", "weight")
             out = hit if out is None else out.unionByName(hit)
-    return None if out is None else out.distinct()
+    # copies of a text fold here
+    return None if out is None else out.groupBy("k1", "k2", "n", "pos").agg(F.max("weight").alias("weight"))
+
+
+def _spans(shared: DataFrame, items: DataFrame, p: Leak) -> DataFrame:
+    """k1, k2, spans (n, first and last start, shared): starts of windows that share enough weight for
+    an item of n words. ``shared`` counts a repeated shingle each time, so it is never too small."""
+    reach = F.col("n") - F.least("n", F.lit(p.k))
+    enter = F.struct(F.greatest(F.lit(0), F.col("pos") - reach).alias("at"), F.col("weight").alias("d"))
+    leave = F.struct((F.col("pos") + 1).alias("at"), (-F.col("weight")).alias("d"))
+    steps = shared.select("k1", "k2", "n", F.explode(F.array(enter, leave)).alias("x"))
+    steps = steps.groupBy("k1", "k2", "n", F.col("x.at").alias("at")).agg(F.sum("x.d").alias("d"))
+    place = W.partitionBy("k1", "k2", "n").orderBy("at")
+    runs = steps.select("k1", "k2", "n", F.col("at").alias("a"), (F.lead("at").over(place) - 1).alias("b"),
+                        F.sum("d").over(place.rowsBetween(W.unboundedPreceding, 0)).alias("shared"))
+    least = items.groupBy("n").agg(F.min(_weight(F.col("shingles"))).alias("least"))
+    runs = runs.join(F.broadcast(least), "n").where(F.col("shared") * 100 >= F.col("least") * p.percent)
+    return runs.groupBy("k1", "k2").agg(F.collect_list(F.struct("n", "a", "b", "shared")).alias("spans"))
+
+
+def _windows(texts: DataFrame, spans: DataFrame) -> DataFrame:
+    """k1, k2, n, start, shared, win: the windows at the starts of ``spans``."""
+    spans = stored(spans)
+    parts = max(1, -(-spans.count() // BROADCAST_ROWS))
+    out = None
+    for part in range(parts):
+        some = spans.where(F.pmod("k1", F.lit(parts)) == part)
+        held = texts.join(F.broadcast(some), ["k1", "k2"]).withColumn("w", words(ascii_lower(F.col("t"))))
+
+        def wins(x: Column) -> Column:
+            last = F.least(x["b"], F.greatest(F.lit(0), F.size("w") - x["n"]))
+            starts = F.when(x["a"] <= last, F.sequence(x["a"], last)).otherwise(F.array().cast("array<int>"))
+            return F.transform(starts, lambda s: F.struct(
+                x["n"].alias("n"), s.alias("start"), x["shared"].alias("shared"),
+                F.array_join(F.slice("w", s + 1, x["n"]), " ").alias("win")))
+        laid = held.select("k1", "k2", F.explode_outer(F.flatten(F.transform("spans", wins))).alias("x"))
+        laid = laid.select("k1", "k2", "x.n", "x.start", "x.shared", "x.win").where("win IS NOT NULL")
+        out = laid if out is None else out.unionByName(laid)
+    return out.distinct()
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -112,19 +152,24 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     """doc_id, key (hash of the text), item_id, n_windows, best_percent, first_word for every
     document and item with a similar window."""
     t = text_of(text_col)
-    d = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(t).alias("key"), words(ascii_lower(t)).alias("w"))
+    d = docs.select(F.col(id_col).alias("doc_id"), t.alias("t"), F.xxhash64(t).alias("k1"), F.xxhash64(F.lit(1), t).alias("k2"))
+    texts = d.select("k1", "k2", "t")
     items = cut(_items(benchmark, p))
-    laid = _windows(d, items, p)
-    if laid is None:
+    shared = _shared(texts, items, p)
+    if shared is None:
         return docs.sparkSession.createDataFrame([], f"doc_id {docs.schema[id_col].dataType.simpleString()}, key long, "
                                                  "item_id long, n_windows long, best_percent int, first_word int")
-    laid = cut(laid)
-    wins = laid.select("n", "win").distinct().withColumn("w", F.split("win", " ")) \
-        .select("n", "win", _shingles("w", p).alias("shingles"))
-    wins = fingerprints(wins, "n", "win")
+    laid = stored(_windows(texts, _spans(shared, items, p)))
+    wins = laid.groupBy("n", "win").agg(F.max("shared").alias("shared")).withColumn("w", F.split("win", " ")) \
+        .select("n", "win", "shared", _shingles("w", p).alias("shingles"))
+    # the union is the window's weight and the item's less the shared one
+    least = items.groupBy("n").agg(F.min(_weight(F.col("shingles"))).alias("least"))
+    wins = wins.join(F.broadcast(least), "n").where(
+        F.col("shared") * (100 + p.percent) >= (_weight(F.col("shingles")) + F.col("least")) * p.percent)
+    wins = fingerprints(stored(wins.select("n", "win", "shingles")), "n", "win")
     marks = fingerprints(items.select("item_id", "n", F.array_join("w", " ").alias("text"), "shingles"), "item_id", "n", "text") \
         .select("item_id", "n", F.col("shingles").alias("item_shingles"), F.col("fp").alias("item_fp"))
-    wins, marks = cut(wins), cut(marks)
+    wins, marks = stored(wins), cut(marks)
     a = wins.select("n", "win", "fp", F.explode(block_keys(F.col("fp"), p.radius)).alias("block"))
     b = marks.select("n", "item_id", "item_fp", F.explode(block_keys(F.col("item_fp"), p.radius)).alias("block"))
     near = a.join(b, ["n", "block"]).where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= p.radius)
@@ -136,10 +181,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     good = both.withColumn("common", common).withColumn("union", union) \
         .where(F.col("common") * 100 >= F.col("union") * p.percent) \
         .select("n", "win", "item_id", F.floor(F.col("common") * 100 / F.col("union")).cast("int").alias("percent"))
-    found = laid.join(good, ["n", "win"])
-    return found.groupBy("doc_id", "key", "item_id").agg(
-        F.count(F.lit(1)).alias("n_windows"), F.max("percent").alias("best_percent"),
-        F.min("start").alias("first_word"))
+    found = laid.join(good, ["n", "win"]).groupBy("k1", "k2", "item_id").agg(
+        F.count(F.lit(1)).alias("n_windows"), F.max("percent").alias("best_percent"), F.min("start").alias("first_word"))
+    # stored, so a text that very many documents hold can be split in the join
+    return d.select("doc_id", "k1", "k2").join(stored(found), ["k1", "k2"]).select(
+        "doc_id", F.col("k1").alias("key"), "item_id", "n_windows", "best_percent", "first_word").distinct()
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, p: Leak = Leak()) -> DataFrame:

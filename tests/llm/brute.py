@@ -89,3 +89,19 @@ def leaks(rows, items, k=5, percent=75, radius=19):
                     if 100 * both >= percent * either and (simhash(a) ^ simhash(b)).bit_count() <= radius:
                         out.add((doc, item))
     return out
+
+
+def every_leak(rows, items, k=5, percent=75):
+    """(id, item id) pairs by the similarity alone: every window of every document against every item."""
+    marks = [(item, len(w), shingles(w, k)) for item, w in ((i, words(t, True)) for i, t in items) if w]
+    out = set()
+    for doc, text in rows:
+        w = words(text, True)
+        for item, n, b in marks:
+            for s in range(max(0, len(w) - n) + 1):
+                a = shingles(w[s:s + n], k)
+                both = sum(map(len, a & b))
+                if both and 100 * both >= percent * sum(map(len, a | b)):
+                    out.add((doc, item))
+                    break
+    return out

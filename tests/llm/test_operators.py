@@ -243,6 +243,50 @@ def test_leaks(spark, odd, empty):
     assert decontam.clean(odd, short.limit(0)).count() == odd.count() and decontam.leaks(empty, items).count() == 0
 
 
+def with_insertions(n_items):
+    """Items of invented words, and a document for each that holds it with words put in."""
+    rnd = random.Random(5)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(2, 9)))
+    items, rows = [], []
+    for i in range(n_items):
+        w = [word() for _ in range(rnd.randint(25, 120))]
+        items.append((i, " ".join(w)))
+        for _ in range(rnd.randint(1, 2)):
+            at = rnd.randrange(5, len(w) - 5)
+            w[at:at] = [word() for _ in range(rnd.randint(2, 10))]
+        rows.append((i, " ".join([word() for _ in range(60)] + w + [word() for _ in range(60)])))
+    return rows, items
+
+
+def test_leaks_between_aligned_windows(spark):
+    rows, items = with_insertions(600)
+    want = {p for row, item in zip(rows, items) for p in brute.every_leak([row], [item])}
+    aligned = {p for row, item in zip(rows, items) for p in brute.leaks([row], [item], radius=64)}
+    assert aligned < want
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontam.leaks(docs, bench).collect()}
+    print(f"leaks found {len(got & want)} of {len(want)}, aligned {len(aligned)}")
+    assert got <= want and (want - aligned) & got and len(got) >= 0.99 * len(want)
+
+
+def test_leaks_of_changed_items_and_awkward(spark, odd, empty):
+    items = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet")
+    bench = [(r["item_id"], r["text"]) for r in items.collect()]
+    rnd = random.Random(11)
+    made = []
+    for i, (item, text) in enumerate(bench[:12]):
+        w = text.split()
+        w[rnd.randrange(len(w))] = "changed"
+        made.append((10 ** 6 + i, f"Some words before {' '.join(w)} and after"))
+    got = {(r["doc_id"], r["item_id"]) for r in decontam.leaks(spark.createDataFrame(made, "doc_id long, text string"), items).collect()}
+    assert got == brute.every_leak(made, bench) > brute.leaks(made, bench)
+    short = spark.createDataFrame([(1, "one two"), (2, None), (None, "w1 w2"), (3, ""), (4, "token = abcdefgh12345678")], "item_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontam.leaks(odd, short).collect()} == {(5, 1), (14, 4)}
+    kept = decontam.clean(odd, short)
+    assert kept.columns == odd.columns and kept.count() == odd.count() - 2
+    assert decontam.clean(odd, short.limit(0)).count() == odd.count() and decontam.leaks(empty, items).count() == 0
+
+
 def test_packing_follows_best_fit():
     rnd = random.Random(2)
     items = sorted(((rnd.randint(1, 60), rnd.randint(0, 5), rnd.choice([-1, -1, 0, 1, 2])) for _ in range(400)), reverse=True)
