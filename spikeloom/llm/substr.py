@@ -14,8 +14,10 @@ Goal: every word covered by a window of ``window`` words whose word sequence als
             match that occurs twice; matches of ``window`` words or more are reported as intervals
   removal   intervals are merged per text, and the kept words hashed
 
-Anchors with more than ``hot`` distinct segments go to shards window by window (by the window's hash),
-so a passage in a third of all texts is spread. Shard sizes follow ``shard_words``; nothing is capped.
+Anchors with more than ``hot`` distinct segments are counted window by window instead, by 128 bits of
+the window's words: equal windows have equal anchors, so those counted twice or more repeat and the
+others do not. The counts are aggregated and joined, so a passage in a third of all texts meets in no
+task. Shard sizes follow ``shard_words``; nothing is capped.
 
 Defined results: null texts and texts without words have no words and nothing removed; repeated rows
 are copies of each other, so their windows repeat; a null id is kept as null.
@@ -45,7 +47,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 class Repeats:
     window: int = 35            # words of a window
     anchor: int = 8             # words of an anchor gram
-    hot: int = 2_000            # distinct segments from which an anchor's windows are dealt one by one
+    hot: int = 2_000            # distinct segments from which an anchor's windows are counted one by one
     shard_words: int = 400_000  # words a shard indexes, about
 
 
@@ -216,21 +218,15 @@ def _shard_task(p: Repeats):
 
 
 def _segment_task(p: Repeats):
-    """Cuts the wanted segments out of each text; hot ones window by window, by the window's hash."""
+    """Cuts the wanted segments out of each text."""
     def run(batches):
         for b in S.pieces(batches):
             out: list = []
             for row, packed, wanted in zip(b.column("row").to_pylist(), b.column("packed").to_pylist(), b.column("wanted").to_pylist()):
                 words = zlib.decompress(packed).split(b" ")
                 for x in wanted:
-                    if not x["hot"]:
-                        part = b" ".join(words[x["first"]:x["first"] + x["n"] + p.window - 1])
-                        out.append((x["anchor"], row, x["first"], x["single"], part))
-                        continue
-                    for s in range(x["first"], x["first"] + x["n"]):
-                        part = b" ".join(words[s:s + p.window])
-                        key = int.from_bytes(hashlib.blake2b(part, digest_size=8).digest(), "big", signed=True)
-                        out.append((key, row, s, x["single"], part))
+                    part = b" ".join(words[x["first"]:x["first"] + x["n"] + p.window - 1])
+                    out.append((x["anchor"], row, x["first"], x["single"], part))
             cols = list(zip(*out)) if out else [[]] * 5
             yield pa.RecordBatch.from_arrays(
                 [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()),
@@ -238,6 +234,24 @@ def _segment_task(p: Repeats):
     return run
 
 
+def _window_task(p: Repeats):
+    """Two hashes of every window of the wanted segments of each text."""
+    def run(batches):
+        for b in S.pieces(batches):
+            out: list = []
+            for row, packed, wanted in zip(b.column("row").to_pylist(), b.column("packed").to_pylist(), b.column("wanted").to_pylist()):
+                words = zlib.decompress(packed).split(b" ")
+                for x in wanted:
+                    for s in range(x["first"], x["first"] + x["n"]):
+                        key = hashlib.blake2b(b" ".join(words[s:s + p.window]), digest_size=16).digest()
+                        out.append((int.from_bytes(key[:8], "big", signed=True), int.from_bytes(key[8:], "big", signed=True), row, s, x["single"]))
+            cols = list(zip(*out)) if out else [[]] * 5
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()),
+                 pa.array(cols[3], pa.int32()), pa.array(cols[4], pa.bool_())], ["h1", "h2", "row", "start", "single"])
+    return run
+
+
 def merged(parts: list[dict]) -> list[list[int]]:
     out: list[list[int]] = []
     for a, b in sorted((x["a"], x["b"]) for x in parts):
@@ -295,14 +309,23 @@ def repeated_spans(rows: DataFrame, source: DataFrame, p: Repeats) -> DataFrame:
         F.col("at.row").alias("row"), F.struct("anchor", F.col("at.first").alias("first"), "n", "hot",
                                                (F.col("c") == 1).alias("single")).alias("w"))
     wanted = stored(wanted.groupBy("row").agg(F.collect_list("w").alias("wanted")))
-    total = wanted.select(F.explode("wanted").alias("w")).agg(F.sum(F.when(
-        F.col("w.hot"), F.col("w.n") * p.window).otherwise(F.col("w.n") + p.window - 1))).first()[0] or 0
-    shards = max(1, -(-int(total) // p.shard_words))
-    texts = wanted.join(rows.select("row", "k1", "k2"), "row").join(packed_forms(source.select("text"), lower=False), ["k1", "k2"])
-    cut_out = texts.select("row", "packed", "wanted").mapInArrow(
-        _segment_task(p), "place long, row long, start int, single boolean, words binary")
+    total, any_hot = wanted.select(F.explode("wanted").alias("w")).agg(
+        F.sum(F.when(~F.col("w.hot"), F.col("w.n") + p.window - 1)), F.max("w.hot")).first()
+    shards = max(1, -(-int(total or 0) // p.shard_words))
+
+    def texts(hot: bool) -> DataFrame:
+        some = wanted.withColumn("wanted", F.filter("wanted", lambda x: x["hot"] == F.lit(hot))).where(F.size("wanted") > 0)
+        keyed = some.join(rows.select("row", "k1", "k2"), "row")
+        return keyed.join(packed_forms(source.select("text"), lower=False), ["k1", "k2"]).select("row", "packed", "wanted")
+    cut_out = texts(False).mapInArrow(_segment_task(p), "place long, row long, start int, single boolean, words binary")
     found = cut_out.groupBy(F.pmod(F.xxhash64("place"), F.lit(shards)).alias("shard")).applyInArrow(
         _shard_task(p), "row long, a int, b int")
+    if any_hot:
+        # both stored, so a window of very many rows can be split in the join
+        windows = stored(texts(True).mapInArrow(_window_task(p), "h1 long, h2 long, row long, start int, single boolean"))
+        twice = stored(windows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h1", "h2"))
+        found = found.union(windows.where("single").join(twice, ["h1", "h2"]).select(
+            "row", F.col("start").alias("a"), (F.col("start") + p.window).alias("b")))
     return whole.union(found)
 
 

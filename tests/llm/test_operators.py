@@ -162,6 +162,28 @@ def test_repeats_awkward(odd, empty, hot):
         assert substr.remove_repeats(empty).count() == 0
 
 
+def test_a_passage_in_many_contexts_meets_in_no_task(spark, monkeypatch):
+    rnd = random.Random(9)
+    mix = lambda n: " ".join(str(rnd.randrange(10 ** 6)) for _ in range(n))
+    passage = mix(90)
+    rows = [(i, f"{mix(40)} {passage} {mix(40)}") for i in range(60)] + [(100, mix(120))]
+    task = substr._shard_task
+
+    def watched(p):
+        run = task(p)
+
+        def f(t):
+            if len(set(t.column("words").to_pylist())) < t.num_rows:
+                raise ValueError("copies of a window in one group")
+            return run(t)
+        return f
+    monkeypatch.setattr(substr, "_shard_task", watched)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = substr.remove_repeats(docs, p=substr.Repeats(hot=10))
+    got = [(r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in out.collect()]
+    assert ordered(got) == ordered(brute.repeats(rows))
+
+
 def test_fm_index_counts():
     rnd = np.random.default_rng(5)
     text = rnd.integers(1, 6, 700)
