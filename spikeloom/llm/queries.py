@@ -6,7 +6,7 @@ are not SQL; tests/llm holds them against the library, brute force or their laws
 
 from __future__ import annotations
 
-from spikeloom.llm import decontam, neardup, packing, quality, secrets, shards, substr, tokens, urls, warc
+from spikeloom.llm import decontam, hardneg, langid, neardup, packing, quality, repair, secrets, shards, substr, tokens, urls, warc
 
 QUERIES = {
     "op1_minhash_near_dedup": neardup.op1,
@@ -19,6 +19,9 @@ QUERIES = {
     "op8_best_fit_packing": packing.op8,
     "op9_benchmark_decontamination": decontam.op9,
     "op10_sharding": shards.op10,
+    "op11_conversation_repair": repair.op11,
+    "op12_hard_negatives": hardneg.op12,
+    "op13_language_id": langid.op13,
 }
 ORACLES = {
     "op1_minhash_near_dedup": neardup.OP1_SQL,
@@ -27,4 +30,5 @@ ORACLES = {
     "op5_substring_dedup": substr.OP5_SQL,
     "op6_quality_rules": quality.OP6_SQL,
     "op7_url_filters": urls.OP7_SQL,
+    "op12_hard_negatives": hardneg.OP12_SQL,
 }
