@@ -10,8 +10,8 @@ not depend on how rows are dealt. The language of the shortest code wins (ties:
 is its share of the sum of 2^-length over all languages.
 
 Counting covers all labelled texts: tasks count windows of order + 1 bytes by arrays, sums meet in a
-shuffle, shorter contexts are sums of longer ones. The trees keep the ``grams`` most frequent windows in
-all, the same number per language, for the ``languages`` with most rows: these two parameters bound what
+shuffle, shorter contexts are sums of longer ones. The trees keep about the ``grams`` most frequent windows in
+all, as many per language, for the ``languages`` with most rows: these two parameters bound what
 is broadcast. Costs of all languages for a window stand in one row of a hash table, so a byte is looked
 up once for all languages.
 
@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from spikeloom.llm import shingles as S
 from spikeloom.llm.common import table
 from spikeloom.llm.lookup import HashTable
+from spikeloom.llm.neardup import stored
 from spikeloom.llm.tokens import WIDE, text_bytes
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -201,10 +202,16 @@ def learn(labelled: DataFrame, p: Trees = Trees(), text_col: str = "text", lang_
     if not languages:
         return Model([], {}, p.order)
     counts = rows.where(F.col("lang").isin(languages)).mapInArrow(_count_task(p.order), "lang string, gram long, n long")
-    counts = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    best = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    kept = counts.withColumn("i", F.row_number().over(best)).where(F.col("i") <= max(1, p.grams // len(languages)))
-    found = kept.select("lang", "gram", "n").toArrow()
+    counts = stored(counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+    # the most frequent of each language by a histogram of counts; of the count that does not fit whole,
+    # the share by a hash that fits
+    most = max(1, p.grams // len(languages))
+    order = Window.partitionBy("lang").orderBy(F.desc("n"))
+    hist = counts.groupBy("lang", "n").agg(F.count(F.lit(1)).alias("c")).withColumn("upto", F.sum("c").over(order))
+    room = F.greatest(F.lit(0), F.least(F.col("c"), most - F.col("upto") + F.col("c"))) / F.col("c")
+    hist = hist.select("lang", "n", room.alias("room")).where("room > 0")
+    part = F.pmod(F.xxhash64("gram"), F.lit(1 << 20)) < F.col("room") * (1 << 20)
+    found = counts.join(hist, ["lang", "n"]).where(part).select("lang", "gram", "n").toArrow()
     names, grams, n = found.column("lang").to_numpy(), found.column("gram").to_numpy(), found.column("n").to_numpy()
     return Model(languages, {x: (grams[names == x].view(np.uint64), n[names == x]) for x in languages}, p.order)
 

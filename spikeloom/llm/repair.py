@@ -23,8 +23,9 @@ rows by a range partitioning of the light rows (no texts), so one of any length
 
 Most conversations are one chunk and need no fix-up. Copies of a row (same turn, role and text) fold into one
 with a count before anything is shuffled: the first stands for all, the rest must be deleted and only shift
-costs. Passes end after one more than the longest run of chunks through which two vectors never
-converge (chunks in which every row is better deleted); chunks of forced deletions alone are skipped.
+costs. Vectors do not converge through chunks whose every row is better deleted; where ``PASSES`` fix-ups
+leave a conversation unfinished, its chunks' whole matrices are composed from the end by doubling, which
+gives the same vectors in as many rounds as the logarithm of its chunks.
 
 Defined results: null conversation ids are one conversation; a null role or text is one space; a role with another
 initial than s, u, a (or none) can't be kept; a conversation without rows has no cost, no audit and
@@ -48,6 +49,8 @@ from spikeloom.llm.neardup import stored
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CHUNK = 16_384
+PASSES = 8
+FAR = 1 << 40               # a cost beyond all others
 KEEP, REROLE, DELETE, INSERT, TRUNCATED = 0, 1, 2, 5, 5
 # fixed values: states 0 start, 1 after s, 2 after u, 3 after a; what an initial leads to
 AFTER = {"s": (1, None, None, None), "u": (2, 2, None, 2), "a": (None, None, 3, None)}
@@ -233,6 +236,26 @@ def chunks_of(light: DataFrame, size: int = CHUNK) -> DataFrame:
 VECTOR = "array<long>"
 
 
+def composed(chunks: DataFrame) -> DataFrame:
+    """(conv, j, true_end): the vectors after chunks (conv, j, codes), from their matrices composed by doubling."""
+    def matrix(r):
+        columns = [run_back(r["codes"], [0 if i == t else FAR for i in range(4)])[0] for t in range(4)]
+        return [(r["conv"], r["j"], [c[i] for i in range(4) for c in columns])]
+    m = stored(chunks.mapInArrow(_per_chunk(matrix, ["conv", "j", "m"], [pa.int64(), pa.int32(), pa.list_(pa.int64())]), f"conv long, j int, m {VECTOR}"))
+    four = F.sequence(F.lit(0), F.lit(3))
+    step, longest = 1, m.agg(F.max("j")).first()[0] or 0
+    while step < longest:
+        later = m.select("conv", (F.col("j") - step).alias("j"), F.col("m").alias("after"))
+        cell = lambda i, k: F.get("m", F.floor(i / 4).cast("int") * 4 + k) + F.get("after", k * 4 + i % 4)
+        both = F.transform(F.sequence(F.lit(0), F.lit(15)), lambda i: F.array_min(F.transform(four, lambda k: cell(i, k))))
+        m = stored(matched(m, later, ["conv", "j"], "left").select("conv", "j", F.when(F.col("after").isNotNull(), both).otherwise(F.col("m")).alias("m")))
+        step *= 2
+    end = F.lit(list(END)).cast(VECTOR)
+    ends = F.transform(four, lambda s: F.array_min(F.transform(four, lambda t: F.get("m", s * 4 + t) + F.get(end, t))))
+    after = m.select("conv", (F.col("j") - 1).alias("j"), ends.alias("v"))
+    return matched(m, after, ["conv", "j"], "left").select("conv", "j", F.coalesce("v", end).alias("true_end"))
+
+
 def solved(chunks: DataFrame) -> DataFrame:
     """(conv, chunk, end, entry) of the chunks of conversations of several: the vector after each, true but for a
     constant, and the state it is entered in."""
@@ -252,12 +275,17 @@ def solved(chunks: DataFrame) -> DataFrame:
     schema = f"conv long, j int, used {VECTOR}, start {VECTOR}"
     state = stored(d.select("conv", "j", "codes", end.alias("used")).mapInArrow(_per_chunk(start, names, types), schema))
     flat = lambda c: F.transform(c, lambda x: x - F.array_min(c))
-    while True:
+    for n in range(PASSES + 1):
         pairs = matched(state, state.select("conv", (F.col("j") - 1).alias("j"), flat(F.col("start")).alias("next")), ["conv", "j"], "left")
         stale = F.col("next").isNotNull() & (flat(F.col("used")) != F.col("next"))
         pairs = stored(pairs.select("conv", "j", "used", "start", "next", stale.alias("stale")))
         if pairs.where("stale").isEmpty():
             break
+        if n == PASSES:
+            left = pairs.where("stale").select("conv").distinct()
+            new = composed(matched(d, left, ["conv"]).select("conv", "j", "codes"))
+            state = stored(matched(state, new, ["conv", "j"], "left").select("conv", "j", F.coalesce("true_end", "used").alias("used"), "start"))
+            break
         left = matched(pairs.where("stale"), d.select("conv", "j", "codes"), ["conv", "j"])
         new = left.select("conv", "j", "codes", "used", "start", "next").mapInArrow(_per_chunk(again, names, types), schema)
         state = stored(new.union(pairs.where("not stale").select("conv", "j", "used", "start")))
