@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 LOCAL_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -57,3 +58,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def scratch_path(spark: SparkSession, what: str = "table") -> str:
+    """A new path in the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/spikeloom-{what}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The frame as a Parquet table in the shared checkpoint folder: lineage is cut, later steps read
+    files (compressed, unlike checkpoint()), and a lost executor costs one task's work."""
+    path = scratch_path(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
