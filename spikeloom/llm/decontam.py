@@ -28,7 +28,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from spikeloom.llm.common import ascii_lower, cut, table, text_of, unwrapped, words, wrapped
-from spikeloom.llm.neardup import stored
+from spikeloom.session import stored
 
 BROADCAST_ROWS = 500_000    # benchmark shingles (24 bytes each) broadcast at a time
 

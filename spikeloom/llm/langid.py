@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 from spikeloom.llm import shingles as S
 from spikeloom.llm.common import table
 from spikeloom.llm.lookup import HashTable
-from spikeloom.llm.neardup import stored
 from spikeloom.llm.tokens import WIDE, text_bytes
+from spikeloom.session import stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 

@@ -31,7 +31,6 @@ from __future__ import annotations
 
 import hashlib
 import sys
-import uuid
 import zlib
 from dataclasses import dataclass
 
@@ -43,7 +42,7 @@ from pyspark.sql import functions as F
 
 from spikeloom.llm import shingles as S
 from spikeloom.llm.common import ROW_KEYS, cut, row_keys, table, unwrapped, wrapped
-from spikeloom.session import checkpoint_dir
+from spikeloom.session import stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -56,6 +55,7 @@ class Near:
     rows: int = 5
     partners: int = 8       # a bucket's pairs across components are made up to this many per node
     block: int = 1024       # nodes of a block where a larger bucket is compared in blocks
+    shingles: int = 500_000  # shingles of a block's nodes, about
 
 
 def sketches(owner: np.ndarray, values: np.ndarray, n: int, t: int) -> np.ndarray:
@@ -121,18 +121,20 @@ def _form_task(lower: bool):
     """Content key and packed normal form of each text with words, once per batch."""
     def run(batches):
         for b in batches:
-            seen: dict = {}
+            seen: set = set()
             for part in S.pieces([b]):
+                keys, packed = [], []
                 for t in part.column("text").to_pylist():
                     x = S.normal(t, lower)
                     if x:
                         key = content_key(x)
                         if key not in seen:
-                            seen[key] = zlib.compress(x, 1)
-            keys = list(seen)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([i for i, _ in keys], pa.int64()), pa.array([j for _, j in keys], pa.int64()),
-                 pa.array(list(seen.values()), pa.binary())], ["k1", "k2", "packed"])
+                            seen.add(key)
+                            keys.append(key)
+                            packed.append(zlib.compress(x, 1))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([i for i, _ in keys], pa.int64()), pa.array([j for _, j in keys], pa.int64()),
+                     pa.array(packed, pa.binary())], ["k1", "k2", "packed"])
     return run
 
 
@@ -143,23 +145,37 @@ def packed_forms(texts: DataFrame, lower: bool) -> DataFrame:
         .groupBy("k1", "k2").agg(F.first("packed").alias("packed"))
 
 
+def unpacked_blocks(*columns: pa.Array):
+    """(first row, unpacked texts of each column) for rows of about ``S.BLOCK`` unpacked bytes at a time."""
+    rows, total, at = [], 0, 0
+    for i, row in enumerate(zip(*columns)):
+        row = [zlib.decompress(x.as_buffer()) for x in row]
+        size = sum(map(len, row))
+        if rows and total + size > S.BLOCK:
+            yield at, list(zip(*rows))
+            rows, total, at = [], 0, i
+        rows.append(row)
+        total += size
+    if rows:
+        yield at, list(zip(*rows))
+
+
 def _verify_task(p: Near):
     """Pairs of normal forms whose full shingle sets are similar enough."""
     def run(batches):
         tables: dict = {}
-        for b in S.pieces(batches):
-            left = [zlib.decompress(t) for t in b.column("fa").to_pylist()]
-            right = [zlib.decompress(t) for t in b.column("fb").to_pylist()]
-            good = np.zeros(len(left), bool)
-            for lo, hi in S.blocks(len(x) + len(y) for x, y in zip(left, right)):
-                oa, va = S.shingle_sets(left[lo:hi], p.k, tables)
-                ob, vb = S.shingle_sets(right[lo:hi], p.k, tables)
+        for b in batches:
+            good = np.zeros(b.num_rows, bool)
+            for at, (left, right) in unpacked_blocks(b.column("fa"), b.column("fb")):
+                n = len(left)
+                oa, va = S.shingle_sets(list(left), p.k, tables)
+                ob, vb = S.shingle_sets(list(right), p.k, tables)
                 o, v = np.concatenate([oa, ob]), np.concatenate([va, vb])
                 order = np.lexsort((v, o))
                 o, v = o[order], v[order]
-                both = np.bincount(o[1:][(o[1:] == o[:-1]) & (v[1:] == v[:-1])], minlength=hi - lo)
-                union = np.bincount(o, minlength=hi - lo) - both
-                good[lo:hi] = (union > 0) & (100 * both >= p.percent * union)
+                both = np.bincount(o[1:][(o[1:] == o[:-1]) & (v[1:] == v[:-1])], minlength=n)
+                union = np.bincount(o, minlength=n) - both
+                good[at:at + n] = (union > 0) & (100 * both >= p.percent * union)
             yield pa.RecordBatch.from_arrays([b.column("a").filter(pa.array(good)),
                                               b.column("b").filter(pa.array(good))], ["a", "b"])
     return run
@@ -185,8 +201,11 @@ def _block_task(p: Near):
     """Links between the components of one group of nodes: enough of them to join what is linked."""
     def run(t: pa.Table) -> pa.Table:
         nodes, comp = t.column("node").to_numpy(), np.unique(t.column("comp").to_numpy(), return_inverse=True)[1]
-        owner, values = S.shingle_sets([zlib.decompress(x) for x in t.column("packed").to_pylist()], p.k, {})
-        n = len(nodes)
+        n, parts, tables = len(nodes), [], {}
+        for at, (texts,) in unpacked_blocks(t.column("packed").combine_chunks()):
+            o, v = S.shingle_sets(list(texts), p.k, tables)
+            parts.append((o + at, v))
+        owner, values = (np.concatenate(x) for x in zip(*parts))
         size = np.bincount(owner, minlength=n)
         links = []
         outside = np.flatnonzero(comp != np.bincount(comp).argmax())
@@ -203,14 +222,6 @@ def _block_task(p: Near):
     return run
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """The frame as a Parquet table in the shared checkpoint folder (compressed, unlike checkpoint())."""
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/spikeloom-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.parquet(path)
-
-
 def verify(pairs: DataFrame, forms: DataFrame, p: Near) -> DataFrame:
     """The pairs (a, b) that are links; ``forms`` has node and packed. A hub with very many partners
     is one row on the other side of the join, so adaptive skew handling can split its pairs."""
@@ -266,15 +277,15 @@ def merged(comps: DataFrame, links: DataFrame) -> DataFrame:
 
 def _mixed(members: DataFrame, comps: DataFrame) -> DataFrame:
     """Members (key, node, size, comp) of the buckets that hold several components, with the bucket's number
-    of nodes n, its number of pairs across components and its largest component."""
+    of nodes n, the shingles of all, its number of pairs across components and its largest component."""
     m = members.join(comps, "node").select("key", "node", "size", "comp")
-    parts = m.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
+    parts = m.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"), F.sum("size").alias("total"))
     square = F.col("c").cast("double") * F.col("c")
-    buckets = parts.groupBy("key").agg(F.count(F.lit(1)).alias("k"), F.sum("c").alias("n"), F.sum(square).alias("within"),
+    buckets = parts.groupBy("key").agg(F.count(F.lit(1)).alias("k"), F.sum("c").alias("n"), F.sum("total").alias("total"), F.sum(square).alias("within"),
                                        F.max(F.struct("c", "comp"))["comp"].alias("major")).where("k > 1")
     across = (F.col("n").cast("double") * F.col("n") - F.col("within")) / 2
     # stored, so a hot bucket's members can be split in the join
-    return m.join(stored(buckets.select("key", "n", across.alias("across"), "major")), "key")
+    return m.join(stored(buckets.select("key", "n", "total", across.alias("across"), "major")), "key")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p: Near = Near(),
@@ -315,7 +326,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tried = done.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     found = verify(near.join(tried, ["a", "b"], "left_anti"), forms, p)
     # every block of a large bucket meets every other in one group
-    blocks = F.ceil(F.col("n") / p.block).cast("int")
+    blocks = F.ceil(F.greatest(F.col("n") / p.block, F.col("total") / p.shingles)).cast("int")
     large = mixed.where(~few).withColumn("i", F.pmod(F.xxhash64("node"), blocks).cast("int"))
     large = large.withColumn("j", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
         "key", "node", "comp", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"))

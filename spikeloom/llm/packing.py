@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from spikeloom.llm import tokens
 from spikeloom.llm.common import ascii_lower, squeeze, table, text_of
-from spikeloom.llm.neardup import stored
+from spikeloom.session import stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 import sys
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 
 # Spark ships these functions with their code, so workers need no copy of this package
@@ -109,11 +111,17 @@ def shingle_sets(texts: list[bytes], k: int, tables: dict) -> tuple[np.ndarray,
     return o[new], v[new]
 
 
-def pieces(batches, rows: int = 1_000):
-    """The batches in slices of at most ``rows`` rows: Python objects exist for one slice at a time."""
+def pieces(batches, rows: int = 1_000, most: int = 2 * BLOCK):
+    """The batches in slices of at most ``rows`` rows and about ``most`` bytes of text: Python objects
+    exist for one slice at a time. A longer text is a slice of its own."""
     for b in batches:
-        for at in range(0, b.num_rows, rows):
-            yield b.slice(at, rows)
+        size = np.zeros(b.num_rows, np.int64)
+        for c in b.columns:
+            if pa.types.is_string(c.type) or pa.types.is_binary(c.type) or pa.types.is_large_string(c.type):
+                size += pc.fill_null(pc.binary_length(c), 0).to_numpy(zero_copy_only=False)
+        for lo, hi in blocks(size.tolist(), most):
+            for at in range(lo, hi, rows):
+                yield b.slice(at, min(rows, hi - at))
 
 
 def blocks(sizes, most: int = BLOCK):

@@ -38,7 +38,8 @@ from pyspark.sql import functions as F
 
 from spikeloom.llm import shingles as S
 from spikeloom.llm.common import table
-from spikeloom.llm.neardup import content_key, packed_forms, stored
+from spikeloom.llm.neardup import content_key, packed_forms
+from spikeloom.session import stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
