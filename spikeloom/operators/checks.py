@@ -9,7 +9,7 @@ from __future__ import annotations
 from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -91,3 +91,36 @@ def check_not_null(df: DataFrame, cols: Sequence[str] | None = None) -> DataFram
     agg = df.agg(*[F.sum(F.col(c).isNull().cast("long")).alias(c) for c in cols])
     stack = ", ".join(f"'{c}', coalesce(`{c}`, 0L)" for c in cols)
     return agg.selectExpr(f"stack({len(cols)}, {stack}) AS (column_name, null_count)")
+
+
+class CheckedWrite:
+    """J1 and J3-J6 while a table is written: one pass computes row count, nulls, rows that break a rule and the
+    rows of given categories as observed metrics of the write; a key's duplicates come from one aggregate
+    over the written key columns.
+
+    Metrics are collected where the write's own tasks end, so a task that is run again counts once.
+    """
+
+    def __init__(self, df: DataFrame, not_null: Sequence[str] = (), never: dict[str, Column] | None = None,
+                 shares: dict[str, Sequence] | None = None):
+        self.df, self.not_null, self.never, self.shares = df, list(not_null), dict(never or {}), dict(shares or {})
+
+    def metrics(self) -> list[Column]:
+        out = [F.count(F.lit(1)).alias("row_count")]
+        out += [F.count_if(F.col(c).isNull()).alias(f"null:{c}") for c in self.not_null]
+        # a rule that is null for a row is not broken by it
+        out += [F.count_if(F.coalesce(rule, F.lit(False))).alias(f"rule:{name}") for name, rule in self.never.items()]
+        out += [F.count_if(F.col(c) == F.lit(v)).alias(f"share:{c}={v}") for c, vs in self.shares.items() for v in vs]
+        return out
+
+    def write(self, path: str, keys: Sequence[str] = (), partition_by: Sequence[str] = ()) -> DataFrame:
+        """Writes the table and returns (metric, value)."""
+        spark = self.df.sparkSession
+        seen = Observation()
+        w = self.df.observe(seen, *self.metrics()).write.mode("overwrite")
+        (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
+        found = {k: int(v or 0) for k, v in seen.get.items()}
+        if keys:
+            twice = spark.read.parquet(path).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+            found["duplicate_keys"] = twice.agg(F.count_if(F.col("n") > 1)).first()[0]
+        return spark.createDataFrame(sorted(found.items()), "metric string, value long")

@@ -90,6 +90,8 @@ class GrowthParams:
     follower_k: float = 2.0
     followed_k: float = POWER_LAW_80_20
     mutual_share: float = 0.30
+    churn_share: float = 0.15
+    churn_days: int = 30
     # rows one task expands or numbers; hot days are split into chunks of this size
     rows_per_chunk: int = 250_000
 
