@@ -6,8 +6,9 @@ start of a window, as a running sum over the places where a shingle enters and l
 window shares at least ``percent`` of the item's weight, so a window is laid at every start whose sum
 reaches that of the lightest item of L words: none that can be similar is left out. Then
   fingerprint  64-bit SimHash of the window's distinct 5-word shingles, each weighing its length
-  blocks       radius + 1 blocks of bits: two fingerprints within the radius agree on one block at
-               least (pigeonhole), so the block join finds all of them
+  blocks       a fingerprint is ``blocks`` keys of 12 or 13 bits. Two within the radius differ by
+               floor(radius / blocks) bits at most in one block at least (pigeonhole), so an item is entered
+               under every key that close to its own, a window looks up its own keys, and none is missed
   verify       weighted Jaccard of the shingle sets, compared as integers, at ``percent`` or more
 
 Windows are laid once per text and equal windows are fingerprinted and verified once, however many
@@ -22,6 +23,7 @@ are one match; items of fewer than five words are one shingle, matched as a whol
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -38,6 +40,7 @@ class Leak:
     k: int = 5              # words of a shingle
     percent: int = 75       # least weighted similarity
     radius: int = 19        # most differing fingerprint bits
+    blocks: int = 5         # blocks of a fingerprint: 12 or 13 bits each
 
 
 def _grams(w: Column | str, k: int) -> Column:
@@ -77,12 +80,27 @@ def fingerprints(sets: DataFrame, *keys: str) -> DataFrame:
     return sets.join(votes.select(*keys, fp.alias("fp")), list(keys))
 
 
-def block_keys(fp: Column, radius: int) -> Column:
-    """radius + 1 structs (block number, bits of that block): shared by any two within the radius."""
-    n = radius + 1
-    edge = [64 * i // n for i in range(n + 1)]
-    return F.array(*[F.struct(F.lit(i).alias("no"), F.shiftrightunsigned(fp, edge[i]).bitwiseAND(
-        F.lit((1 << (edge[i + 1] - edge[i])) - 1).cast("long")).alias("bits")) for i in range(n)])
+def _block(fp: Column, i: int, p: Leak) -> Column:
+    lo, hi = (64 * x // p.blocks for x in (i, i + 1))
+    return F.shiftrightunsigned(fp, lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1).cast("long"))
+
+
+def block_keys(fp: Column, p: Leak) -> Column:
+    """One struct (block number, bits of that block) per block."""
+    return F.array(*[F.struct(F.lit(i).alias("no"), _block(fp, i, p).alias("bits")) for i in range(p.blocks)])
+
+
+def flipped_keys(fp: Column, p: Leak) -> Column:
+    """The keys of all fingerprints that differ in a block by floor(radius / blocks) bits at most: two within the
+    radius differ so little in one block at least."""
+    out = []
+    for i in range(p.blocks):
+        width = 64 * (i + 1) // p.blocks - 64 * i // p.blocks
+        masks = [sum(1 << b for b in bits) for n in range(p.radius // p.blocks + 1) for bits in combinations(range(width), n)]
+        near = F.array(*[F.lit(m).cast("long") for m in masks])
+        bits = _block(fp, i, p)
+        out.append(F.transform(near, lambda m: F.struct(F.lit(i).alias("no"), bits.bitwiseXOR(m).alias("bits"))))
+    return F.concat(*out)
 
 
 def _items(benchmark: DataFrame, p: Leak) -> DataFrame:
@@ -128,23 +146,18 @@ def _spans(shared: DataFrame, items: DataFrame, p: Leak) -> DataFrame:
 
 def _windows(texts: DataFrame, spans: DataFrame) -> DataFrame:
     """k1, k2, n, start, shared, win: the windows at the starts of ``spans``."""
-    spans = stored(spans)
-    parts = max(1, -(-spans.count() // BROADCAST_ROWS))
-    out = None
-    for part in range(parts):
-        some = spans.where(F.pmod("k1", F.lit(parts)) == part)
-        held = texts.join(F.broadcast(some), ["k1", "k2"]).withColumn("w", words(ascii_lower(F.col("t"))))
-
-        def wins(x: Column) -> Column:
-            last = F.least(x["b"], F.greatest(F.lit(0), F.size("w") - x["n"]))
-            starts = F.when(x["a"] <= last, F.sequence(x["a"], last)).otherwise(F.array().cast("array<int>"))
-            return F.transform(starts, lambda s: F.struct(
-                x["n"].alias("n"), s.alias("start"), x["shared"].alias("shared"),
-                F.array_join(F.slice("w", s + 1, x["n"]), " ").alias("win")))
-        laid = held.select("k1", "k2", F.explode_outer(F.flatten(F.transform("spans", wins))).alias("x"))
-        laid = laid.select("k1", "k2", "x.n", "x.start", "x.shared", "x.win").where("win IS NOT NULL")
-        out = laid if out is None else out.unionByName(laid)
-    return out.distinct()
+    # Spark broadcasts the spans if it measures them small enough, else both sides shuffle
+    held = texts.join(stored(spans), ["k1", "k2"]).withColumn("w", words(ascii_lower(F.col("t"))))
+
+    def wins(x: Column) -> Column:
+        last = F.least(x["b"], F.greatest(F.lit(0), F.size("w") - x["n"]))
+        starts = F.when(x["a"] <= last, F.sequence(x["a"], last)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda s: F.struct(
+            x["n"].alias("n"), s.alias("start"), x["shared"].alias("shared"),
+            F.array_join(F.slice("w", s + 1, x["n"]), " ").alias("win")))
+    laid = held.select("k1", "k2", F.explode_outer(F.flatten(F.transform("spans", wins))).alias("x"))
+    laid = laid.select("k1", "k2", "x.n", "x.start", "x.shared", "x.win").where("win IS NOT NULL")
+    return laid.distinct()
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -157,8 +170,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     items = cut(_items(benchmark, p))
     shared = _shared(texts, items, p)
     if shared is None:
-        return docs.sparkSession.createDataFrame([], f"doc_id {docs.schema[id_col].dataType.simpleString()}, key long, "
-                                                 "item_id long, n_windows long, best_percent int, first_word int")
+        kinds = [x.schema[c].dataType.simpleString() for x, c in ((docs, id_col), (benchmark, "item_id"))]
+        return docs.sparkSession.createDataFrame([], f"doc_id {kinds[0]}, key long, item_id {kinds[1]}, "
+                                                 "n_windows long, best_percent int, first_word int")
     laid = stored(_windows(texts, _spans(shared, items, p)))
     wins = laid.groupBy("n", "win").agg(F.max("shared").alias("shared")).withColumn("w", F.split("win", " ")) \
         .select("n", "win", "shared", _shingles("w", p).alias("shingles"))
@@ -170,8 +184,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     marks = fingerprints(items.select("item_id", "n", F.array_join("w", " ").alias("text"), "shingles"), "item_id", "n", "text") \
         .select("item_id", "n", F.col("shingles").alias("item_shingles"), F.col("fp").alias("item_fp"))
     wins, marks = stored(wins), cut(marks)
-    a = wins.select("n", "win", "fp", F.explode(block_keys(F.col("fp"), p.radius)).alias("block"))
-    b = marks.select("n", "item_id", "item_fp", F.explode(block_keys(F.col("item_fp"), p.radius)).alias("block"))
+    a = wins.select("n", "win", "fp", F.explode(block_keys(F.col("fp"), p)).alias("block"))
+    b = marks.select("n", "item_id", "item_fp", F.explode(flipped_keys(F.col("item_fp"), p)).alias("block"))
     near = a.join(b, ["n", "block"]).where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= p.radius)
     near = near.select("n", "win", "item_id").distinct()
     both = near.join(wins.select("n", "win", "shingles"), ["n", "win"]).join(

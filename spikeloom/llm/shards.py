@@ -4,7 +4,8 @@ Records are hashed into ``n_slots`` virtual slots (thousands, fixed for the life
 bytes and rows are summed per slot, and a small map says which shard owns a slot. Version 1 of the
 map is by rule (slot modulo shards). ``rebalance`` edits it: a shard keeps its slots, largest
 first, while they fit the mean, and only the rest moves, each to the shard least loaded so far.
-``write_map`` / ``read_map`` store versions as Parquet, so a reader can follow every move.
+``write_map`` / ``read_map`` store versions as Parquet, so a reader can follow every move; the query writes
+both versions and places by what it reads back.
 
 Only DataFrame operations: the map has ``n_slots`` rows (a parameter), so it is broadcast and
 folded in one row; records are only hashed, joined to it and numbered inside their slot.
@@ -20,10 +21,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from spikeloom.llm.common import cut, table, text_of
+from spikeloom.llm.common import table, text_of
+from spikeloom.session import scratch_path, stored
 
 N_SLOTS = 4096
 N_SHARDS = 16
+CHUNK = 65_536              # copies of a row dealt out at a time
 MOVES = "array<struct<vslot:bigint,shard:int>>"
 
 
@@ -44,9 +47,12 @@ def slot_records(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.withColumn("vslot", record_slot(key, n_slots))
 
 
-def slot_bytes(records: DataFrame) -> DataFrame:
-    """vslot, bytes, n_rows: at most n_slots rows."""
-    return records.groupBy("vslot").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n_rows"))
+def slot_bytes(records: DataFrame, n_slots: int = N_SLOTS) -> DataFrame:
+    """vslot, bytes, n_rows of every slot, also of those that hold nothing yet: a stored map has a place for
+    records that come later."""
+    sums = records.groupBy("vslot").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n_rows"))
+    every = records.sparkSession.range(n_slots).select(F.col("id").alias("vslot"))
+    return every.join(sums, "vslot", "left").fillna(0, ["bytes", "n_rows"])
 
 
 def initial_map(slots: DataFrame, n_shards: int = N_SHARDS) -> DataFrame:
@@ -80,8 +86,10 @@ def rebalance(slot_map: DataFrame, n_shards: int = N_SHARDS) -> DataFrame:
 
 
 def write_map(slot_map: DataFrame, path: str) -> None:
-    """Adds this version of the map to the store (one folder per version)."""
-    slot_map.write.mode("append").partitionBy("version").parquet(path)
+    """Adds this version of the map to the store (one folder per version). A version that is there already is
+    replaced, so a repeated run leaves one copy of it."""
+    (slot_map.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("version").parquet(path))
 
 
 def read_map(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
@@ -92,20 +100,30 @@ def read_map(spark: SparkSession, path: str, version: int | None = None) -> Data
 
 
 def place_records(records: DataFrame, slot_map: DataFrame) -> DataFrame:
-    """Adds shard and slot: the row's position in its shard, 0 and up without gaps. The
-    records before a slot in its shard come from the map, those before a row in its slot from a
-    window over that slot."""
-    before = F.sum("n_rows").over(W.partitionBy("shard").orderBy("vslot")
-                                  .rowsBetween(W.unboundedPreceding, -1))
-    offsets = slot_map.select("vslot", "shard", F.coalesce(before, F.lit(0)).alias("__before"))
-    nth = F.row_number().over(W.partitionBy("vslot").orderBy("doc_id", "text_crc32", "size"))
-    rows = records.withColumn("__nth", nth).join(F.broadcast(offsets), "vslot")
-    return rows.withColumn("slot", (F.col("__before") + F.col("__nth") - 1).cast("bigint"))
+    """doc_id, size, text_crc32, vslot, shard and slot: the row's position in its shard, 0 and up without gaps.
+    The records before a slot in its shard are those of these records, counted per slot and laid out by
+    the map; those before a row in its slot come from a window over the slot's different rows. Equal
+    rows fold into one with a count and take the next positions, dealt out in chunks."""
+    keys = ["vslot", "doc_id", "text_crc32", "size"]
+    folded = records.groupBy(*keys).agg(F.count(F.lit(1)).alias("__c"))
+    held = folded.groupBy("vslot").agg(F.sum("__c").alias("__held"))
+    own = slot_map.select("vslot", "shard").join(held, "vslot", "left")
+    before = F.sum(F.coalesce("__held", F.lit(0))).over(W.partitionBy("shard").orderBy("vslot").rowsBetween(W.unboundedPreceding, -1))
+    offsets = own.select("vslot", "shard", F.coalesce(before, F.lit(0)).alias("__before"))
+    up_to = F.sum("__c").over(W.partitionBy("vslot").orderBy("doc_id", "text_crc32", "size").rowsBetween(W.unboundedPreceding, -1))
+    rows = folded.withColumn("__nth", F.coalesce(up_to, F.lit(0))).join(F.broadcast(offsets), "vslot")
+    last = F.floor((F.col("__c") - 1) / CHUNK).cast("long")
+    rows = rows.withColumn("__k", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    inside = F.sequence(F.col("__k") * CHUNK, F.least((F.col("__k") + 1) * CHUNK, F.col("__c")) - 1)
+    rows = rows.withColumn("__i", F.explode(inside))
+    return rows.select("doc_id", "size", "text_crc32", "vslot", "shard", (F.col("__before") + F.col("__nth") + F.col("__i")).cast("bigint").alias("slot"))
 
 
 def op10(spark, sf_dir):
-    records = cut(slot_records(table(spark, sf_dir, "documents", "doc_id", "text")))
-    slot_map = cut(rebalance(initial_map(slot_bytes(records))))
-    out = place_records(records, slot_map)
+    records = stored(slot_records(table(spark, sf_dir, "documents", "doc_id", "text")))
+    store = scratch_path(spark, "slots")
+    write_map(initial_map(slot_bytes(records)), store)
+    write_map(rebalance(read_map(spark, store, 1)), store)
+    out = place_records(records, read_map(spark, store))
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                       F.lit(None).cast("int").alias("grown_shard"))

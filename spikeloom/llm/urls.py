@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spikeloom.llm.common import ascii_lower, table, text_of
+from spikeloom.session import stored
 
 # fixed values: rules of (verdict, host, path)
 RULES = (
@@ -73,40 +74,41 @@ def host_levels(host: Column) -> tuple[Column, Column]:
     return domain, suffix
 
 
-def _strength(groups: DataFrame, p: Reputation) -> Column:
-    """Prior weight of one level, from groups of (n, k, m = parent's mean), as a scalar:
+def _strength(groups: DataFrame, p: Reputation) -> float:
+    """Prior weight of one level, from groups of (n, k, m = parent's mean):
     E[(k - n m)^2 / (n m (1 - m))] = 1 + (n - 1) rho."""
     chi = F.pow(F.col("k") - F.col("n") * F.col("m"), 2) / (F.col("n") * F.col("m") * (1 - F.col("m")))
     rho = groups.where("n > 0").agg(
         ((F.sum(chi) - F.count(F.lit(1))) / F.sum(F.col("n") - 1)).alias("rho"))
     rho = rho.select(F.least(F.greatest(F.coalesce(F.try_divide(F.col("rho"), F.lit(1.0)), F.lit(p.max_rho)),
                                         F.lit(p.min_rho)), F.lit(p.max_rho)).alias("rho"))
-    return rho.select((1 / F.col("rho") - 1).alias("s")).scalar()
+    return rho.select((1 / F.col("rho") - 1).alias("s")).first()[0]
 
 
 def host_reputation(pages: DataFrame, outcomes: DataFrame, p: Reputation = Reputation()) -> DataFrame:
     """Per host: n labelled pages, k bad ones, post_mean and post_lower of the bad share.
 
-    ``pages``: page_id, host. ``outcomes``: page_id, bad (0/1), one row per page_id."""
+    ``pages``: page_id, host. ``outcomes``: page_id, bad (0/1), one row per page_id. The table of hosts is stored
+    once, and the levels above are sums of it; one number per level (its prior's weight) goes through the driver."""
     seen = pages.select("page_id", "host").join(outcomes, "page_id", "left")
     hosts = seen.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("k"))
     domain, suffix = host_levels(F.col("host"))
-    hosts = hosts.withColumn("domain", domain).withColumn("suffix", suffix)
+    hosts = stored(hosts.withColumn("domain", domain).withColumn("suffix", suffix))
     sums = (F.sum("n").alias("n"), F.sum("k").alias("k"))
     domains = hosts.groupBy("domain", "suffix").agg(*sums)
-    suffixes = domains.groupBy("suffix").agg(*sums)
-    top = suffixes.agg(((F.coalesce(F.sum("k"), F.lit(0)) + p.mean * p.weight)
-                        / (F.coalesce(F.sum("n"), F.lit(0)) + p.weight)).alias("m")).scalar()
+    suffixes = hosts.groupBy("suffix").agg(*sums)
+    top = hosts.agg(((F.coalesce(F.sum("k"), F.lit(0)) + p.mean * p.weight)
+                     / (F.coalesce(F.sum("n"), F.lit(0)) + p.weight)).alias("m")).first()[0]
 
     def shrink(level: DataFrame) -> DataFrame:
-        s = _strength(level, p)
+        s = F.lit(float(_strength(level, p)))
         a = F.col("k") + F.col("m") * s
         return level.withColumn("a", a).withColumn("b", F.col("n") + s - F.col("a")) \
             .withColumn("mean", F.col("a") / (F.col("a") + F.col("b")))
 
-    suffixes = shrink(suffixes.withColumn("m", top))
-    domains = shrink(domains.join(suffixes.select("suffix", F.col("mean").alias("m")), "suffix"))
-    hosts = shrink(hosts.join(domains.select("domain", "suffix", F.col("mean").alias("m")), ["domain", "suffix"]))
+    suffixes = stored(shrink(suffixes.withColumn("m", F.lit(float(top)))))
+    domains = stored(shrink(stored(domains.join(suffixes.select("suffix", F.col("mean").alias("m")), "suffix"))))
+    hosts = shrink(stored(hosts.join(domains.select("domain", "suffix", F.col("mean").alias("m")), ["domain", "suffix"])))
     total = F.col("a") + F.col("b")
     sd = F.sqrt(F.col("a") * F.col("b") / (total * total * (total + 1)))
     return hosts.select("host", "n", "k", F.col("mean").alias("post_mean"),

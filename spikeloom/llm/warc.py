@@ -7,7 +7,7 @@ the stored ones. Verdicts: ``not_modified``, ``changed`` (a validator differs),
 on both sides), ``missing`` (no earlier response).
 
 The as-of join has two levels, so a URL with a third of all captures is no single task: captures are cut
-into time buckets; inside a (URL, bucket) a window carries the last response forward, and the last
+into time buckets of about equal rows; inside a (URL, bucket) a window carries the last response forward, and the last
 response of earlier buckets comes from a window over one row per (URL, bucket). Payloads are not
 shuffled; the result names the response record.
 
@@ -56,9 +56,11 @@ def resolve_revisits(records: DataFrame, n_buckets: int = N_BUCKETS) -> DataFram
     headers (map). Returns per revisit: record_id, canonical_url, ts, response_id, verdict, headers."""
     r = records.select("record_id", canonical_url(F.col("url")).alias("canonical_url"), F.col("ts").cast("double").alias("ts"),
                        (F.col("kind") == "response").alias("full"), "etag", "last_modified", "digest", "headers")
-    ends = r.agg(F.min("ts").alias("lo"), ((F.max("ts") - F.min("ts")) / n_buckets).alias("width")).first()
-    lo, width = ends["lo"] or 0.0, ends["width"] or 1.0
-    r = r.withColumn("bucket", F.coalesce(F.floor((F.col("ts") - lo) / width), F.lit(-1)))
+    # buckets of about equal rows: a burst of captures is cut as finely as it is dense
+    cuts = [i / n_buckets for i in range(1, n_buckets)]
+    ends = sorted(set((r.agg(F.percentile_approx("ts", cuts or [0.5], 10_000)).first()[0] or []))) if cuts else []
+    at = F.size(F.filter(F.array(*[F.lit(float(x)) for x in ends]), lambda x: x < F.col("ts"))) if ends else F.lit(0)
+    r = r.withColumn("bucket", F.when(F.col("ts").isNull(), F.lit(-1)).otherwise(at))
     response = F.struct("ts", "record_id", "etag", "last_modified", "digest", "headers")
     r = r.withColumn("response", F.when(F.col("full") & F.col("ts").isNotNull(), response))
     # the last response of each bucket (map keys can't be compared, so by time and id), then of all before it
@@ -77,9 +79,11 @@ def resolve_revisits(records: DataFrame, n_buckets: int = N_BUCKETS) -> DataFram
     verdict = (F.when(F.col("found").isNull(), "missing").when(agree.isNull(), "unchecked")
                .when(agree, "not_modified").otherwise("changed"))
     own = F.coalesce("headers", F.create_map().cast("map<string,string>"))
-    update = F.map_filter(own, lambda k, v: k.isin(*PERMITTED))
+    # header names are the same in any letter case
+    update = F.map_filter(own, lambda k, v: ascii_lower(k).isin(*PERMITTED))
+    names = F.transform(F.map_keys(update), ascii_lower)
     old = F.coalesce("found.headers", F.create_map().cast("map<string,string>"))
-    kept = F.map_filter(old, lambda k, v: ~F.array_contains(F.map_keys(update), k))
+    kept = F.map_filter(old, lambda k, v: ~F.array_contains(names, ascii_lower(k)))
     merged = F.when(F.col("verdict").isin("not_modified", "unchecked"), F.map_concat(kept, update))
     return out.withColumn("verdict", verdict).select(
         "record_id", "canonical_url", "ts", F.col("found.record_id").alias("response_id"), "verdict", merged.alias("headers"))

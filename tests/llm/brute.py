@@ -91,17 +91,23 @@ def leaks(rows, items, k=5, percent=75, radius=19):
     return out
 
 
-def every_leak(rows, items, k=5, percent=75):
-    """(id, item id) pairs by the similarity alone: every window of every document against every item."""
+def every_leak(rows, items, k=5, percent=75, radius=64):
+    """(id, item id) pairs: every window of every document against every item, by weighted similarity and
+    fingerprints that differ by ``radius`` bits at most (64: by the similarity alone)."""
     marks = [(item, len(w), shingles(w, k)) for item, w in ((i, words(t, True)) for i, t in items) if w]
     out = set()
     for doc, text in rows:
         w = words(text, True)
+        whole = {m: shingles(w, m) if len(w) >= m else shingles(w, k) for m in range(1, k + 1)}
         for item, n, b in marks:
+            # a window's part of the item is no more than the whole text's
+            least = percent * sum(map(len, b))
+            if 100 * sum(map(len, whole[min(n, k)] & b)) < least:
+                continue
             for s in range(max(0, len(w) - n) + 1):
                 a = shingles(w[s:s + n], k)
                 both = sum(map(len, a & b))
-                if both and 100 * both >= percent * sum(map(len, a | b)):
+                if both and 100 * both >= percent * sum(map(len, a | b)) and (radius == 64 or (simhash(a) ^ simhash(b)).bit_count() <= radius):
                     out.add((doc, item))
                     break
     return out

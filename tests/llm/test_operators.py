@@ -256,7 +256,7 @@ def test_leaks(spark, odd, empty):
         made.append((10 ** 6 + i, f"Some words before {' '.join(w)} and after"))
     docs = docs.union(spark.createDataFrame(made, "doc_id long, text string"))
     got = {(r["doc_id"], r["item_id"]) for r in decontam.leaks(docs, items).collect()}
-    assert got == brute.leaks(pairs(docs), bench) and len(got) > 8
+    assert got == brute.every_leak(pairs(docs), bench, radius=decontam.Leak().radius) and len(got) > 8
     short = spark.createDataFrame([(1, "one two"), (2, None), (None, "w1 w2"), (3, ""), (4, "token = abcdefgh12345678")], "item_id long, text string")
     found = decontam.leaks(odd, short)
     assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == {(5, 1), (14, 4)}
