@@ -1,29 +1,28 @@
 """Edge tables (L1-L3) and an exact "first n by key" (D4, H3).
 
-`unique_edges` draws candidate pairs from seeded skewed id draws, removes self pairs and
-duplicates (a hash aggregate with map-side combine: a hot pair collapses before the shuffle),
-and keeps the first n distinct pairs in candidate order. Candidate i's pair depends only on i,
-so drawing more candidates never changes the first n: oversampling grows until there are enough
-pairs, and the result equals "all candidates, first n" exactly.
+`unique_edges` takes the first n distinct pairs of given candidates. `uniform_edges` and `degree_edges` need no
+candidates to throw away: a keyed permutation numbers all pairs, or all partners of a node, so pairs
+are distinct by construction and their number is exact.
 """
 
 from __future__ import annotations
 
 import math
-from typing import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spikeloom.functions.draws import digest, draw_int, draw_uniform, slice_uniform
+from spikeloom.functions.draws import draw_int, draw_int_sql, draw_uniform, draw_uniform_sql
 from spikeloom.operators.joins import pick_eligible
+from spikeloom.operators.timeline import expand_counts
 from spikeloom.params import GrowthParams
+from spikeloom.session import stored
 
 HIST_BLOCKS = 4096
 
 
 def first_n_by(df: DataFrame, key: str, n: int, blocks: int = HIST_BLOCKS, rows_ranked: int = 1_000_000) -> DataFrame:
-    """The ``n`` rows with the smallest unique integer ``key``, without a global sort.
+    """The ``n`` rows with the smallest unique integer ``key``, without a global sort. ``df`` is read a few times: give
+    stored rows.
 
     A histogram of key blocks (at most ``blocks`` rows) finds the block where the running count
     passes n. While that block holds more than ``rows_ranked`` rows it is cut into blocks in turn; then
@@ -53,51 +52,97 @@ def first_n_by(df: DataFrame, key: str, n: int, blocks: int = HIST_BLOCKS, rows_
     return df.where(F.col(key) <= F.lit(last))
 
 
-def candidate_pairs(spark: SparkSession, m: int, seed: int, tag: str,
-                    pick_a: Callable[[Column], Column], pick_b: Callable[[Column], Column],
-                    parts: int, after: int = 0) -> DataFrame:
-    """Seeded candidates ``(cid, a, b)`` number after + 1 to m; one md5 per candidate feeds both ends."""
-    c = spark.range(after + 1, m + 1, 1, parts).withColumnRenamed("id", "cid")
-    c = c.withColumn("__d", digest(seed, tag, "cid"))
-    c = c.select("cid", pick_a(slice_uniform(F.col("__d"), 0)).alias("a"),
-                 pick_b(slice_uniform(F.col("__d"), 1)).alias("b"))
-    return c
-
-
 def distinct_pairs(cands: DataFrame) -> DataFrame:
     """Self pairs out, one row per (a, b) with its first candidate id."""
     return cands.where(F.col("a") != F.col("b")).groupBy("a", "b").agg(F.min("cid").alias("cid"))
 
 
-def unique_edges(spark: SparkSession, n: int, n_nodes: int, seed: int, tag: str,
-                 pick_a: Callable[[Column], Column], pick_b: Callable[[Column], Column],
-                 oversample: float = 2.0, max_rounds: int = 12, rows_per_part: int = 2_000_000
-                 ) -> DataFrame:
-    """L1: exactly n distinct non-self pairs ``(a, b, cid)``, skewed as the picks say.
+def unique_edges(cands: DataFrame, n: int) -> DataFrame:
+    """L1 from candidates (cid, a, b): the first n distinct non-self pairs in the order of their first candidate. A hot
+    pair folds before the shuffle; the pairs are stored once, the cut reads files. Fewer than n: all."""
+    return first_n_by(stored(distinct_pairs(cands)), "cid", n).select("a", "b", "cid")
 
-    A round that gives too few pairs draws the next candidates only; earlier pairs are read back.
-    Raises when n exceeds the possible pairs, or when the skew is so strong that
-    ``oversample * 2^max_rounds`` candidates per edge do not give n distinct pairs.
-    """
-    if n > n_nodes * (n_nodes - 1):
-        raise ValueError(f"{n} edges requested but only {n_nodes * (n_nodes - 1)} pairs exist")
-    from spikeloom.session import checkpoint_dir
-    checkpoint_dir(spark)
-    drawn, m = 0, max(16, int(math.ceil(n * oversample)))
-    limit = m << max_rounds
-    cores, pairs = spark.sparkContext.defaultParallelism, None
-    while True:
-        parts = max(cores, math.ceil((m - drawn) / rows_per_part))
-        new = candidate_pairs(spark, m, seed, tag, pick_a, pick_b, parts, drawn)
-        # checkpointed (reliable storage): the count and the cut below read files, not lineage
-        pairs = distinct_pairs(new if pairs is None else pairs.unionByName(new.select(*pairs.columns))).checkpoint()
-        have, drawn = pairs.count(), m
-        if have >= n:
-            return first_n_by(pairs, "cid", n)
-        if m >= limit:
-            raise ValueError(f"only {have} distinct pairs from {m} candidates; flatten the skew")
-        # grow by the observed yield (at least doubling), never past the bound
-        m = min(limit, max(2 * m, int(math.ceil(m * n / max(have, 1) * 1.25))))
+
+# --- pairs without drawing twice: a keyed permutation ------------------------------------------
+
+ROUNDS = 4
+WALKS = 64      # steps outside the range after which a walk is given up with an error
+
+
+def sides(n: Column) -> tuple[Column, Column]:
+    """Sides a, b of a rectangle that holds n numbers: a * b >= n, and less than a + 1 numbers too many."""
+    a = F.greatest(F.lit(1), F.ceil(F.sqrt(n.cast("double")))).cast("bigint")
+    return a, F.ceil((n / a)).cast("bigint")
+
+
+def _feistel(x: Column, a: Column, b: Column, seed: int, tag: str, key: Column) -> Column:
+    """One pass of the network over a x b: each round shifts one half by a draw on the other, so it can be undone."""
+    left, right = F.floor(x / b).cast("bigint"), x % b
+    for i in range(ROUNDS):
+        other, size = (right, a) if i % 2 == 0 else (left, b)
+        shift = draw_int(draw_uniform(seed, f"{tag}{i}", F.concat_ws("/", key.cast("string"), other.cast("string"))), 0, size)
+        if i % 2 == 0:
+            left = (left + shift) % a
+        else:
+            right = (right + shift) % b
+    return left * b + right
+
+
+def permuted(x: Column, n: Column, seed: int, tag: str, key: Column) -> Column:
+    """A seeded permutation of 0..n-1, one per ``key``, at the place x: a Feistel network over the smallest near-square that
+    holds n numbers, walked on while it lands outside (seldom: a share of one in the square's side)."""
+    a, b = sides(n)
+    step = lambda v: _feistel(v, a, b, seed, tag, key)
+    walked = F.aggregate(F.sequence(F.lit(1), F.lit(WALKS)), step(x), lambda v, _: F.when(v < n, v).otherwise(step(v)))
+    return F.when(walked < n, walked).otherwise(F.raise_error(F.lit("permuted: walk too long")).cast("bigint"))
+
+
+def uniform_edges(spark: SparkSession, n: int, n_nodes: int, seed: int, tag: str = "pairs", rows_per_part: int = 1_000_000) -> DataFrame:
+    """L1 without drawing twice: n distinct ordered pairs (eid, a, b) of different nodes 0..n_nodes-1, uniform over all
+    pairs. Pair number ``eid`` goes through a keyed permutation of all pairs, so no two rows meet: no
+    aggregate, no shuffle, no loop, and more edges never change the first ones."""
+    every = n_nodes * (n_nodes - 1)
+    if n > every:
+        raise ValueError(f"{n} edges requested but only {every} pairs exist")
+    parts = max(1, math.ceil(n / rows_per_part), spark.sparkContext.defaultParallelism if n > 0 else 1)
+    pair = permuted(F.col("eid"), F.lit(every).cast("bigint"), seed, tag, F.lit(""))
+    e = spark.range(0, n, 1, parts).withColumnRenamed("id", "eid").withColumn("__p", pair)
+    a, r = F.floor(F.col("__p") / (n_nodes - 1)).cast("bigint"), F.col("__p") % (n_nodes - 1)
+    return e.select("eid", a.alias("a"), r.alias("__r")).select("eid", "a", (F.col("__r") + (F.col("__r") >= F.col("a")).cast("bigint")).alias("b"))
+
+
+def degree_edges(degrees: DataFrame, key: str, place: str, degree: str, n_nodes: int, seed: int, tag: str = "out",
+                 chunk_rows: int = 250_000) -> DataFrame:
+    """Edges with given out-degrees: (key, k, b): node ``key`` at ``place`` 0..n_nodes-1 points at as many different others as its
+    degree says (at most n_nodes - 1), b being their places. Each node walks its own permutation of the others, so partners
+    are distinct by construction; a node with very many is expanded in chunks by many tasks."""
+    d = degrees.select(key, F.col(place).cast("bigint").alias("__at"), F.least(F.col(degree), F.lit(n_nodes - 1)).cast("bigint").alias("__d"))
+    rows = expand_counts(d, "__d", chunk_rows, "k")
+    other = permuted(F.col("k"), F.lit(n_nodes - 1).cast("bigint"), seed, tag, F.col("__at"))
+    return rows.withColumn("__o", other).select(key, "k", (F.col("__o") + (F.col("__o") >= F.col("__at")).cast("bigint")).alias("b"))
+
+
+def feistel_walk_sql(src: str, n: str, seed: int, tag: str, key: str) -> str:
+    """DuckDB twin: ``src`` has columns x and whatever else; the result is a WITH RECURSIVE item ``walk`` whose rows with
+    done hold the permuted x. ``n`` is a scalar, ``key`` the permutation's key."""
+    a = f"CAST(greatest(1, ceil(sqrt(CAST({n} AS DOUBLE)))) AS BIGINT)"
+    b = f"CAST(ceil({n} / {a}) AS BIGINT)"
+    body = f"(SELECT *, x // {b} AS l0, x % {b} AS r0 FROM frontier)"
+    names = "l0", "r0"
+    for i in range(ROUNDS):
+        l, r = names
+        other, size = (r, a) if i % 2 == 0 else (l, b)
+        u = draw_uniform_sql(seed, f"{tag}{i}", f"concat_ws('/', CAST({key} AS VARCHAR), CAST({other} AS VARCHAR))")
+        shift = draw_int_sql(u, 0, size)
+        new = f"l{i + 1}", f"r{i + 1}"
+        body = (f"(SELECT *, {f'({l} + {shift}) % {a}' if i % 2 == 0 else l} AS {new[0]}, "
+                f"{r if i % 2 == 0 else f'({r} + {shift}) % {b}'} AS {new[1]} FROM {body})")
+        names = new
+    drop = ", ".join(f"l{i}, r{i}" for i in range(ROUNDS + 1))
+    out = f"{names[0]} * {b} + {names[1]}"
+    step = body.replace("frontier", "(SELECT * FROM walk WHERE NOT done)")
+    return (f"walk AS (SELECT * EXCLUDE ({drop}) REPLACE ({out} AS x), {out} < {n} AS done FROM {body.replace('frontier', src)} "
+            f"UNION ALL SELECT * EXCLUDE ({drop}) REPLACE ({out} AS x, {out} < {n} AS done) FROM {step})")
 
 
 def add_reciprocal(edges: DataFrame, q: float, seed: int, tag: str = "reverse",

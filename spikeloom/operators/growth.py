@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from spikeloom.operators.joins import edge_pairs
 from spikeloom.params import Timeline
+from spikeloom.session import stored
 
 
 def _one():
@@ -80,14 +81,12 @@ def period_report(users: DataFrame, posts: DataFrame, follows: DataFrame, tl: Ti
     labels = spark.createDataFrame(list(names.items()), "period string, metric string")
     # every period is reported, with a null mean when nobody joined in it
     m = F.broadcast(labels).join(means, "period", "left").select("metric", F.col("per_day").alias("value"))
-    n_users = users.agg(F.count(F.lit(1)).alias("v"))
-    n_posts = posts.agg(F.count(F.lit(1)).alias("v"))
-    n_follows = follows.agg(F.count(F.lit(1)).alias("v"))
-    totals = (n_users.select(F.lit("TOTAL_USERS").alias("metric"), F.col("v").cast("double").alias("value"))
-              .unionByName(n_posts.select(F.lit("TOTAL_POSTS").alias("metric"), F.col("v").cast("double").alias("value")))
-              .unionByName(n_follows.select(F.lit("TOTAL_FOLLOWS").alias("metric"), F.col("v").cast("double").alias("value")))
-              .unionByName(n_posts.select(F.lit("POSTS_PER_USER_RATIO").alias("metric"),
-                                          (F.col("v").cast("double") / n_users.scalar()).alias("value"))))
+    # one row with the three sizes, each table counted once
+    parts = [df.agg(F.count(F.lit(1)).alias("v")).withColumn("t", F.lit(t)) for t, df in (("u", users), ("p", posts), ("f", follows))]
+    one = reduce(DataFrame.unionByName, parts).groupBy().agg(*[F.max(F.when(F.col("t") == t, F.col("v").cast("double"))).alias(t) for t in "upf"])
+    totals = one.select(F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), v.alias("value")) for m, v in (
+        ("TOTAL_USERS", F.col("u")), ("TOTAL_POSTS", F.col("p")), ("TOTAL_FOLLOWS", F.col("f")),
+        ("POSTS_PER_USER_RATIO", F.try_divide("p", "u")))])))
     return m.unionByName(totals).withColumn("value", F.round("value", 6))
 
 
@@ -106,7 +105,8 @@ def spike_ratio(tables: dict[str, DataFrame], ts: str, peak_start: str, peak_end
     """K5: rows per calendar day before, during and after the peak; peak / before. The days of a
     period run from the first to the last day that any of the tables has; a period without such
     days is null."""
-    daily = reduce(DataFrame.unionByName, [daily_counts(df, ts).withColumn("table_name", F.lit(name)) for name, df in tables.items()])
+    # a row per table and day, used three times below: stored, so the tables are read once
+    daily = stored(reduce(DataFrame.unionByName, [daily_counts(df, ts).withColumn("table_name", F.lit(name)) for name, df in tables.items()]))
     days = daily.select("day").distinct().withColumn("n", F.lit(0))
     per = period_of("day", peak_start, peak_end)
     spans = day_spine(days, "day", ["n"]).groupBy(per.alias("period")).agg(F.count(F.lit(1)).alias("days"))
@@ -195,20 +195,21 @@ def influence_share(edges: DataFrame, dst: str, top: float = 0.2, n_nodes=None)
     counts nodes with no in-edge too; default is nodes with at least one.
     """
     deg = edges.groupBy(dst).agg(F.count(F.lit(1)).alias("__d"))
-    hist = deg.groupBy("__d").agg(F.count(F.lit(1)).alias("__nodes"))
+    # a row per degree: everything below is computed from it, the edges are read once
+    hist = stored(deg.groupBy("__d").agg(F.count(F.lit(1)).alias("__nodes")))
+    own_nodes, total_edges = (hist.agg(F.coalesce(F.sum(c), F.lit(0))).first()[0] for c in (F.col("__nodes"), F.col("__nodes") * F.col("__d")))
+    total_edges = F.lit(int(total_edges))
     w = Window.partitionBy(F.lit(0)).orderBy(F.col("__d").desc()).rowsBetween(Window.unboundedPreceding, -1)
     hist = (hist.withColumn("__above_nodes", F.coalesce(F.sum("__nodes").over(w), F.lit(0)))
             .withColumn("__above_edges", F.coalesce(F.sum(F.col("__nodes") * F.col("__d")).over(w), F.lit(0))))
-    nodes = (F.lit(n_nodes) if isinstance(n_nodes, int) else n_nodes) if n_nodes is not None else \
-        deg.agg(F.count(F.lit(1))).scalar()
-    total_edges = edges.agg(F.count(F.lit(1))).scalar()
+    nodes = F.lit(int(own_nodes)) if n_nodes is None else F.lit(n_nodes) if isinstance(n_nodes, int) else n_nodes
     k = F.ceil(F.lit(float(top)) * nodes)
     take = F.least(F.greatest(k - F.col("__above_nodes"), F.lit(0)), F.col("__nodes"))
     top_edges = hist.agg(F.sum(take * F.col("__d")).alias("top_edges"))
     return top_edges.select(
         nodes.cast("bigint").alias("nodes"), total_edges.alias("edges"), k.cast("bigint").alias("top_nodes"),
         F.col("top_edges").cast("bigint").alias("top_edges"),
-        F.round(F.col("top_edges") / total_edges, 6).alias("top_share"))
+        F.round(F.try_divide(F.col("top_edges"), total_edges), 6).alias("top_share"))
 
 
 def reciprocity(edges: DataFrame, a: str, b: str) -> DataFrame:

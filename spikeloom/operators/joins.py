@@ -58,14 +58,18 @@ def dense_positions(pool: DataFrame, group: str, key: str, chunk_rows: int, seed
     return p.withColumn(out, (F.col("__start") + rn).cast("bigint")).drop("__sub", "__start", "__u"), groups
 
 
-def joined_through(groups: DataFrame, group: str, days: DataFrame, day: str, out: str) -> DataFrame:
+def joined_through(groups: DataFrame, group: str, days: DataFrame, day: str, out: str, total: str | None = None) -> DataFrame:
     """For each distinct ``day`` of ``days`` the rows of ``groups`` (day, g_rows) up to it: both day
-    lists in one running sum, instead of a join on <=. One row per day on either side."""
+    lists in one running sum, instead of a join on <=. One row per day on either side. ``total``: also
+    the rows of all days, so that who needs both joins once and no subquery is repeated."""
     own = days.select(F.col(day).alias("__d"), F.lit(0).cast("bigint").alias("__n"), F.lit(1).alias("__own"))
     both = own.unionByName(groups.select(F.col(group).alias("__d"), F.col("g_rows").alias("__n"), F.lit(0).alias("__own")))
     both = both.groupBy("__d").agg(F.sum("__n").alias("__n"), F.max("__own").alias("__own"))
     w = Window.partitionBy(F.lit(0)).orderBy("__d").rowsBetween(Window.unboundedPreceding, 0)
-    return both.withColumn(out, F.sum("__n").over(w)).where("__own = 1").select(F.col("__d").alias(day), out)
+    sums = [F.sum("__n").over(w).alias(out)]
+    if total:
+        sums.append(F.sum("__n").over(Window.partitionBy(F.lit(0))).alias(total))
+    return both.select("__d", "__own", *sums).where("__own = 1").drop("__own").withColumnRenamed("__d", day)
 
 
 def take_position(rows: DataFrame, want: str, spread_by: str, positions: DataFrame, pos: str, key: str, out: str) -> DataFrame:

@@ -15,7 +15,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spikeloom.params import Timeline
+from spikeloom.functions.draws import draw_uniform
+from spikeloom.params import GrowthParams, Timeline
 
 WEIGHT_SCALE = 1_000_000_000  # integer weights: round(w * 1e9), in 128-bit arithmetic
 
@@ -70,22 +71,28 @@ def rate_curve_sql(day: str, tl: Timeline) -> str:
 def scale_to_total(small: DataFrame, weight: str, n, key: str, out: str = "n_rows") -> DataFrame:
     """D4 without truncation: integer counts proportional to ``weight`` summing to exactly ``n``
     (largest remainder, ties by ``key``). Weights count from 1e-9 up and up to 1e9, n up to 1e12:
-    products are 38-digit decimals, so nothing is rounded and any engine agrees.
+    products are 38-digit decimals, so nothing is rounded and any engine agrees. A null weight counts as 0; where
+    all weights are 0 there is nothing to follow and every count is 0; a negative weight (or one that is
+    no number) is an error.
 
     ``small`` is a per-day (or per-group) table: the windows below run on it in one partition.
     ``n`` is an int or a scalar Column (e.g. a count subquery).
     """
     n_c = (n if isinstance(n, Column) else F.lit(int(n))).cast("decimal(18,0)")
-    w = small.withColumn("__w", F.round(F.col(weight) * F.lit(WEIGHT_SCALE)).cast("decimal(19,0)"))
+    v = F.coalesce(F.col(weight).cast("double"), F.lit(0.0))
+    refused = F.raise_error(F.concat(F.lit("scale_to_total: no weight: "), v.cast("string"))).cast("double")
+    v = F.when((v >= 0) & (v < float("inf")), v).otherwise(refused)
+    w = small.withColumn("__w", F.round(v * F.lit(WEIGHT_SCALE)).cast("decimal(19,0)"))
     whole = Window.partitionBy(F.lit(0))
     w = (w.withColumn("__wsum", F.sum("__w").over(whole).cast("decimal(28,0)"))
           .withColumn("__wn", (F.col("__w") * n_c).cast("decimal(38,0)"))
-          .withColumn("__floor", F.expr("__wn div __wsum").cast("bigint"))
-          .withColumn("__rem", F.expr("__wn % __wsum")))
+          .withColumn("__floor", F.when(F.col("__wsum") > 0, F.expr("__wn div __wsum").cast("bigint")).otherwise(F.lit(0).cast("bigint")))
+          .withColumn("__rem", F.when(F.col("__wsum") > 0, F.expr("__wn % __wsum"))))
     w = w.withColumn("__deficit", n_c.cast("bigint") - F.sum("__floor").over(whole))
     w = w.withColumn("__rank", F.row_number().over(
         Window.partitionBy(F.lit(0)).orderBy(F.col("__rem").desc(), F.col(key))))
-    w = w.withColumn(out, F.col("__floor") + (F.col("__rank") <= F.col("__deficit")).cast("bigint"))
+    one_more = (F.col("__wsum") > 0) & (F.col("__rank") <= F.col("__deficit"))
+    w = w.withColumn(out, F.col("__floor") + one_more.cast("bigint"))
     return w.drop("__w", "__wsum", "__wn", "__floor", "__rem", "__deficit", "__rank")
 
 
@@ -136,3 +143,27 @@ def dense_ids(small: DataFrame, count: str, order: str, base: int = 1, out: str
     """D5 for generated rows: the first id of each group is ``base`` plus the rows of all earlier
     groups; a generated row's id is then ``start + offset`` (no window over the big rows)."""
     return with_prefix(small, count, order, out).withColumn(out, F.col(out) + F.lit(base))
+
+
+def posts_rate(joined: str, pre_end: str, peak_end: str, p: GrowthParams) -> Column:
+    """D3: expected posts of a user by join period; after the peak the rate decays by the day."""
+    t, after = F.col(joined), F.datediff(F.to_date(joined), F.to_date(F.lit(peak_end)))
+    return (F.when(t < F.lit(pre_end).cast("timestamp_ntz"), F.lit(p.posts_rate_pre))
+            .when(t < F.lit(peak_end).cast("timestamp_ntz"), F.lit(p.posts_rate_peak))
+            .otherwise(F.lit(p.posts_rate_post) * F.exp(F.lit(-p.posts_decay) * after)))
+
+
+def posts_rate_sql(joined: str, pre_end: str, peak_end: str, p: GrowthParams) -> str:
+    return f"""CASE WHEN {joined} < TIMESTAMP '{pre_end}' THEN {p.posts_rate_pre!r}
+  WHEN {joined} < TIMESTAMP '{peak_end}' THEN {p.posts_rate_peak!r}
+  ELSE {p.posts_rate_post!r} * exp(-{p.posts_decay!r} * date_diff('day', TIMESTAMP '{peak_end}', {joined})) END"""
+
+
+def posts_per_user(users: DataFrame, key: str, joined: str, pre_end: str, peak_end: str, p: GrowthParams) -> DataFrame:
+    """D3 + C18: (key, k, post_date): the whole part of each user's rate as rows k = 0, 1, ..., all on a day drawn from the
+    ``post_shift_days`` after joining (one shift per user). Users whose rate is below 1, or who have no join time, have none."""
+    rate = posts_rate(joined, pre_end, peak_end, p)
+    u = users.where(F.col(joined).isNotNull() & (rate >= 1))
+    shift = F.floor(draw_uniform(p.seed, "ppu", key) * p.post_shift_days).cast("int")
+    u = u.select(key, F.floor(rate).cast("bigint").alias("n"), F.date_add(F.to_date(joined), shift).cast("timestamp_ntz").alias("post_date"))
+    return expand_counts(u, "n", p.rows_per_chunk, "k").select(key, "k", "post_date")

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from spikeloom.functions.draws import draw_int_sql, draw_uniform, draw_uniform_sql, power_law_id, power_law_id_sql
 from spikeloom.operators import joins as E
 from spikeloom.operators.checks import check_foreign_key
-from spikeloom.operators.edges import activated_follows, add_reciprocal, distinct_pairs, first_n_by
+from spikeloom.operators.edges import activated_follows, add_reciprocal, degree_edges, feistel_walk_sql, uniform_edges, unique_edges
 from spikeloom.params import POWER_LAW_80_20, GrowthParams
 from spikeloom.plans.catalog.common import (
     EVENTS_PEAK_END, EVENTS_PEAK_START, ORDERS_PEAK_END, ORDERS_PRE_END, SEED as S, count_sql)
 from spikeloom.plans.registry import register
+from spikeloom.session import stored
 from spikeloom.sources.tables import USERS_STANDIN_SQL, read_table, users_standin
 
 
@@ -121,12 +122,12 @@ def _edges(spark, sf):
     cands = read_table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("cid"), F.col("o_custkey").alias("a"),
         power_law_id(draw_uniform(S, "edges", "o_orderkey"), n, POWER_LAW_80_20, 0).alias("b"))
-    return first_n_by(distinct_pairs(cands), "cid", n)
+    return unique_edges(cands, n)
 
 
 @register("unique_edges", f"WITH {_UE}\nSELECT a, b, cid FROM ue")
 def q_unique_edges(spark, sf):
-    return _edges(spark, sf).select("a", "b", "cid")
+    return _edges(spark, sf)
 
 
 @register("add_reciprocal", f"""WITH {_UE},
@@ -136,3 +137,45 @@ SELECT a, b, cid, cid * 2 AS ekey FROM one
 UNION ALL SELECT b, a, cid, cid * 2 + 1 FROM one WHERE {draw_uniform_sql(S, 'reverse', 'cid')} < {0.3 / 1.7!r}""")
 def q_add_reciprocal(spark, sf):
     return add_reciprocal(_edges(spark, sf), 0.3 / 1.7, S).select("a", "b", "cid", "ekey")
+
+
+_NODES = """nodes AS (SELECT id, CAST(row_number() OVER (ORDER BY CAST(created_at AS DATE), {draw}, id) - 1 AS BIGINT) AS place FROM {users})"""
+_PLACES = _NODES.format(draw=draw_uniform_sql(S, "sub", "id"), users=USERS_STANDIN_SQL)
+_M = "(SELECT count(*) FROM nodes)"
+
+
+def _places(spark, sf):
+    """Users with their place 0..n-1, and n."""
+    users = users_standin(spark, sf).select(F.col("id"), F.to_date("created_at").alias("day"))
+    pos, groups = E.dense_positions(users, "day", "id", 1_000_000, S, "place")
+    return stored(pos.select("id", (F.col("place") - 1).alias("place"))), groups.agg(F.coalesce(F.sum("g_rows"), F.lit(0))).first()[0]
+
+
+@register("uniform_edges", f"""WITH RECURSIVE {_PLACES},
+ src AS (SELECT CAST(row_number() OVER () - 1 AS BIGINT) AS eid, CAST(row_number() OVER () - 1 AS BIGINT) AS x FROM orders),
+ {feistel_walk_sql('src', f'({_M} * ({_M} - 1))', S, 'pairs', "''")},
+ p AS (SELECT eid, x // ({_M} - 1) AS a, x % ({_M} - 1) AS r FROM walk WHERE done),
+ e AS (SELECT eid, a, CASE WHEN r >= a THEN r + 1 ELSE r END AS b FROM p)
+SELECT eid, x.id AS a, y.id AS b FROM e JOIN nodes x ON x.place = e.a JOIN nodes y ON y.place = e.b""")
+def q_uniform_edges(spark, sf):
+    """L1: as many distinct pairs of users as there are orders, uniform, none drawn twice."""
+    nodes, n = _places(spark, sf)
+    e = uniform_edges(spark, read_table(spark, sf, "orders").count(), n, S)
+    for end in ("a", "b"):
+        e = e.withColumnRenamed(end, "place").join(nodes.withColumnRenamed("id", end), "place").drop("place")
+    return e.select("eid", "a", "b")
+
+
+@register("degree_edges", f"""WITH RECURSIVE {_PLACES},
+ deg AS (SELECT nodes.id, place, least(count(*), {_M} - 1) AS d FROM orders JOIN nodes ON nodes.id = o_custkey GROUP BY 1, 2),
+ src AS (SELECT id, place, k, k AS x FROM (SELECT id, place, unnest(range(0, d)) AS k FROM deg)),
+ {feistel_walk_sql('src', f'({_M} - 1)', S, 'out', 'place')},
+ e AS (SELECT id, k, CASE WHEN x >= place THEN x + 1 ELSE x END AS b FROM walk WHERE done)
+SELECT e.id AS a, k, y.id AS b FROM e JOIN nodes y ON y.place = e.b""")
+def q_degree_edges(spark, sf):
+    """L1 with skew from the data: every user points at as many different users as they have orders."""
+    nodes, n = _places(spark, sf)
+    deg = read_table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("id")).agg(F.count(F.lit(1)).alias("d"))
+    e = degree_edges(nodes.join(deg, "id"), "id", "place", "d", n, S)
+    target = nodes.select(F.col("place").alias("b"), F.col("id").alias("__b"))
+    return e.join(target, "b").select(F.col("id").alias("a"), "k", F.col("__b").alias("b"))

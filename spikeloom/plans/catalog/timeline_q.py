@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from spikeloom.functions.draws import draw_uniform, draw_uniform_sql
+from spikeloom.functions.draws import draw_uniform_sql
 from spikeloom.operators import timeline as T
-from spikeloom.params import Timeline
+from spikeloom.params import GrowthParams, Timeline
 from spikeloom.plans.catalog.common import ORDERS_PEAK_END, ORDERS_PRE_END, SEED as S, count_of, count_sql
 from spikeloom.plans.registry import register
 from spikeloom.sources.tables import USERS_STANDIN_SQL, read_table, users_standin
@@ -21,12 +21,10 @@ SELECT day, day_date, {T.rate_curve_sql('day', EVENTS_TL)} AS expected FROM (
   FROM (SELECT min(ts) AS lo, max(ts) AS hi FROM events) b,
        range(0, (SELECT date_diff('day', CAST(min(ts) AS DATE), CAST(max(ts) AS DATE)) + 1 FROM events)))""")
 def q_rate_curve(spark, sf):
-    ev = read_table(spark, sf, "events")
-    b = ev.agg(F.to_date(F.min("ts")).alias("lo"), F.to_date(F.max("ts")).alias("hi"))
-    days = b.select("lo", F.explode(F.sequence(F.lit(0), F.datediff("hi", "lo"))).alias("day"))
-    days = days.select(F.col("day").cast("bigint").alias("day"),
-                       F.date_add("lo", F.col("day")).cast("timestamp_ntz").alias("day_date"))
-    return T.rate_curve(days, EVENTS_TL)
+    """The days of the events, as many as there are from the first to the last."""
+    ends = read_table(spark, sf, "events").agg(F.to_date(F.min("ts")).alias("lo"), F.to_date(F.max("ts")).alias("hi")).first()
+    n = (ends["hi"] - ends["lo"]).days + 1 if ends["lo"] else 0
+    return T.rate_curve(T.day_source(spark, ends["lo"] or "1970-01-01", n), EVENTS_TL)
 
 
 _ORDERS_DAILY_SQL = "(SELECT CAST(o_orderdate AS DATE) AS d, count(*) AS n FROM orders GROUP BY 1)"
@@ -69,26 +67,16 @@ def q_dense_ids(spark, sf):
     return rows.select((F.col("start") + F.col("offset")).alias("id"), F.col("d").cast("timestamp_ntz").alias("day"))
 
 
-_RATE_SQL = f"""CASE WHEN created_at < TIMESTAMP '{ORDERS_PRE_END}' THEN 1.5
-  WHEN created_at < TIMESTAMP '{ORDERS_PEAK_END}' THEN 15.0
-  ELSE 3.0 * exp(-0.02 * date_diff('day', TIMESTAMP '{ORDERS_PEAK_END}', created_at)) END"""
+PARAMS = GrowthParams(seed=S)
+_RATE_SQL = T.posts_rate_sql("created_at", ORDERS_PRE_END, ORDERS_PEAK_END, PARAMS)
 
 
 @register("posts_per_user", f"""
 SELECT user_id, k_off AS k, post_date FROM (
   SELECT id AS user_id, created_at, unnest(range(0, CAST(floor({_RATE_SQL}) AS BIGINT))) AS k_off,
-         CAST(CAST(created_at AS DATE) + CAST(floor({draw_uniform_sql(S, 'ppu', 'id')} * 30) AS INTEGER) AS TIMESTAMP) AS post_date
+         CAST(CAST(created_at AS DATE) + CAST(floor({draw_uniform_sql(S, 'ppu', 'id')} * {PARAMS.post_shift_days}) AS INTEGER) AS TIMESTAMP) AS post_date
   FROM {USERS_STANDIN_SQL} WHERE {_RATE_SQL} >= 1)""")
 def q_posts_per_user(spark, sf):
-    """D3 + C18: per-user post count from the join period, expanded; each user's posts fall
-    0..29 days after joining (one shift per user, as the source's timeline view does)."""
-    u = users_standin(spark, sf)
-    ca = F.col("created_at")
-    rate = (F.when(ca < F.lit(ORDERS_PRE_END).cast("timestamp_ntz"), F.lit(1.5))
-            .when(ca < F.lit(ORDERS_PEAK_END).cast("timestamp_ntz"), F.lit(15.0))
-            .otherwise(F.lit(3.0) * F.exp(F.lit(-0.02) * F.datediff(F.to_date(ca), F.to_date(F.lit(ORDERS_PEAK_END))))))
-    u = u.where(rate >= 1).withColumn("n", F.floor(rate).cast("bigint"))
-    u = u.withColumn("post_date", F.date_add(F.to_date(ca), F.floor(draw_uniform(S, "ppu", "id") * 30).cast("int"))
-                     .cast("timestamp_ntz"))
-    rows = T.expand_counts(u.select("id", "n", "post_date"), "n", chunk_rows=1_000_000, offset="k")
-    return rows.select(F.col("id").alias("user_id"), "k", "post_date")
+    """D3 + C18: posts of each user by join period, 0 to 29 days after joining."""
+    rows = T.posts_per_user(users_standin(spark, sf), "id", "created_at", ORDERS_PRE_END, ORDERS_PEAK_END, PARAMS)
+    return rows.withColumnRenamed("id", "user_id")

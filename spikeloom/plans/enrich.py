@@ -94,11 +94,11 @@ def build_follows(activity: DataFrame, users: DataFrame, s: Story, chunk_rows: i
     p = s.growth
     pool = users.select(F.col("id").alias("__pk"), F.to_date("created_at").alias("__day")).where("__day IS NOT NULL")
     pos, groups = dense_positions(pool, "__day", "__pk", chunk_rows, p.seed, "__pos")
-    n = groups.agg(F.sum("g_rows")).scalar()
+    n = F.col("__all")
     rows = activity.where(D.draw_uniform(p.seed, "follow_p", "id") < s.follow_p("created_at"))
     rows = rows.select("id", "user_id", "created_at", F.to_date("created_at").alias("__lim"),
                        D.digest(p.seed, "popular", "id").alias("__d0"), D.digest(p.seed, "popular2", "id").alias("__d1"))
-    rows = rows.join(joined_through(groups, "__day", rows.select("__lim").distinct(), "__lim", "__N"), "__lim")
+    rows = rows.join(joined_through(groups, "__day", rows.select("__lim").distinct(), "__lim", "__N", "__all"), "__lim")
     us = [D.slice_uniform(F.col(f"__d{i // 2}"), i % 2) for i in range(TRIES + 1)]
     want = F.lit(None).cast("bigint")
     for u in us[:TRIES]:

@@ -85,13 +85,67 @@ def test_first_n_by_equals_sorted_limit(spark):
         assert got == want
 
 
-def test_unique_edges_exact_and_raises_when_impossible(spark):
-    e = L.unique_edges(spark, 50, 20, 1, "e", lambda u: D.power_law_id(u, 20, 2.0),
-                       lambda u: D.power_law_id(u, 20, 7.21))
-    rows = e.collect()
-    assert len(rows) == 50 and len({(r.a, r.b) for r in rows}) == 50 and all(r.a != r.b for r in rows)
+def skewed(spark, n, nodes, seed, k=2.0):
+    """Candidate pairs with popular ends."""
+    u = D.digest(seed, "cand", "cid")
+    return spark.range(n).withColumnRenamed("id", "cid").withColumn("__d", u).select(
+        "cid", D.power_law_id(D.slice_uniform(F.col("__d"), 0), nodes, k).alias("a"), D.power_law_id(D.slice_uniform(F.col("__d"), 1), nodes, k).alias("b"))
+
+
+def test_unique_edges_are_the_first_distinct_pairs(spark):
+    cands = skewed(spark, 400, 20, 1)
+    want, seen = [], set()
+    for r in sorted(cands.collect(), key=lambda r: r.cid):
+        if r.a != r.b and (r.a, r.b) not in seen:
+            seen.add((r.a, r.b))
+            want.append((r.a, r.b, r.cid))
+    for n in (0, 1, 50, len(want), 5000):
+        assert _values(L.unique_edges(cands, n), "a", "b", "cid") == sorted(want[:n])
+
+
+def test_permutations_are_permutations(spark):
+    for n in (1, 2, 3, 6, 17, 100, 1009):
+        for key in ("x", "y"):
+            got = spark.range(n).select(L.permuted(F.col("id"), F.lit(n).cast("bigint"), 5, "p", F.lit(key)).alias("y")).collect()
+            assert sorted(r.y for r in got) == list(range(n))
+    a, b = ([r.y for r in spark.range(200).select(L.permuted(F.col("id"), F.lit(200).cast("bigint"), seed, "p", F.lit("")).alias("y")).collect()]
+            for seed in (1, 2))
+    assert a != b and a != sorted(a)
+
+
+def test_uniform_edges(spark):
+    rows = L.uniform_edges(spark, 20 * 19, 20, 3).collect()
+    assert {(r.a, r.b) for r in rows} == {(a, b) for a in range(20) for b in range(20) if a != b}
+    few, more = (L.uniform_edges(spark, n, 1000, 3).collect() for n in (100, 5000))
+    assert len({(r.a, r.b) for r in more}) == 5000 and all(r.a != r.b for r in more)
+    assert {tuple(r) for r in few} <= {tuple(r) for r in more}
+    # uniform: ends of 5,000 edges over ten blocks of nodes, within five sd
+    counts = [sum(r.b // 100 == k for r in more) for k in range(10)]
+    assert max(abs(c - 500) for c in counts) < 5 * (5000 * 0.1 * 0.9) ** 0.5
+    assert L.uniform_edges(spark, 0, 5, 1).count() == 0
     with pytest.raises(ValueError):
-        L.unique_edges(spark, 7, 2, 1, "e", lambda u: D.power_law_id(u, 2, 1.0), lambda u: D.power_law_id(u, 2, 1.0))
+        L.uniform_edges(spark, 7, 3, 1)
+
+
+def test_degree_edges(spark):
+    deg = spark.createDataFrame([(100 + i, i, d) for i, d in enumerate([0, 1, 5, 9, 30, 3, 3, 3, 9, 2])], "id long, place long, d long")
+    rows = L.degree_edges(deg, "id", "place", "d", 10, 7, chunk_rows=4).collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r.id, []).append(r.b)
+    assert {i: len(v) for i, v in by.items()} == {100 + i: min(d, 9) for i, d in enumerate([0, 1, 5, 9, 30, 3, 3, 3, 9, 2]) if d}
+    assert all(len(set(v)) == len(v) and i - 100 not in v and set(v) <= set(range(10)) for i, v in by.items())
+
+
+def test_scaling_with_odd_weights(spark):
+    def scaled(*weights, n=10):
+        df = spark.createDataFrame([(i, w) for i, w in enumerate(weights)], "day long, w double")
+        return [r["k"] for r in T.scale_to_total(df, "w", n, "day", "k").orderBy("day").collect()]
+    assert scaled(0.0, 0.0) == [0, 0] and scaled(None, None) == [0, 0]
+    assert scaled(None, 1.0, 0.0) == [0, 10, 0]
+    for bad in (-1.0, float("nan"), float("inf")):
+        with pytest.raises(Exception, match="no weight"):
+            scaled(bad, 3.0)
 
 
 def test_edge_checks_on_hand_made_edges(spark):
@@ -112,12 +166,11 @@ def test_operators_on_empty_users(spark):
     empty = spark.createDataFrame([], USERS_SCHEMA)
     assert J.check_unique(empty, ["id"]).count() == 0
     assert K.daily_counts(empty, "created_at").count() == 0
-    assert K.influence_share(empty.select(F.col("id").alias("b")), "b").first()["top_edges"] is None
+    assert K.influence_share(empty.select(F.col("id").alias("b")), "b").first()["edges"] == 0
 
 
 def test_reciprocal_share_near_target(spark):
-    e = L.unique_edges(spark, 4000, 3000, 3, "r", lambda u: D.power_law_id(u, 3000, 2.0),
-                       lambda u: D.power_law_id(u, 3000, 3.0))
+    e = L.unique_edges(skewed(spark, 20_000, 3000, 3), 4000)
     both = L.add_reciprocal(e, 0.3 / 1.7, 3)
     share = K.reciprocity(both, "a", "b").first()["mutual_share"]
     assert 0.25 < share < 0.35
