@@ -10,11 +10,15 @@ from pyspark.sql import functions as F
 from spikeloom.operators import checks as J
 from spikeloom.operators import cohorts as C
 from spikeloom.operators import growth as K
+from spikeloom.functions.draws import draw_uniform_sql
 from spikeloom.operators.lifetimes import cut_activity, spike_lifetimes, spike_lifetimes_sql
-from spikeloom.plans.catalog.build_q import HI, LO, STORY, _ROWS, _USERS, build_users, people, rows_of
+from spikeloom.operators.numbering import numbered, weighted_pick
+from spikeloom.operators.segments import change_points
+from spikeloom.plans import sql_reports
+from spikeloom.plans.catalog.build_q import ALL, HI, LO, STORY, TL, _ROWS, _USERS, build_users, follows_of, follows_stored, people, rows_of
 from spikeloom.plans.catalog.growth_q import _cohort_sql
-from spikeloom.plans.registry import register
-from spikeloom.session import scratch_path
+from spikeloom.plans.registry import ORACLES, register
+from spikeloom.session import scratch_path, stored
 from spikeloom.sources import bucketed as B
 from spikeloom.sources import rewrite as R
 from spikeloom.sources import versions as V
@@ -164,3 +168,60 @@ def q_deleted_on_stored(spark, sf):
     R.delete_where(spark, path, "y", (day >= F.lit("1997-03-01").cast("timestamp_ntz")) & (day < F.lit("1997-06-01").cast("timestamp_ntz"))
                    & (F.col("o_orderstatus") == "F"))
     return spark.read.parquet(path)
+
+
+@register("numbered_rows", """
+SELECT event_id, event_type, row_number() OVER (ORDER BY event_type, event_id) AS n,
+       CAST(coalesce(sum(user_id) OVER (ORDER BY event_type, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start FROM events""")
+def q_numbered_rows(spark, sf):
+    """G2, G3 over given rows in an order of few different values: a fifth of all rows is one key."""
+    ev = read_table(spark, sf, "events").select("event_id", "event_type", "user_id")
+    return numbered(ev, ["event_type", "event_id"], weight="user_id").drop("user_id")
+
+
+_WEIGHTS = """w AS (SELECT user_id AS k, count(*) AS w FROM events GROUP BY 1),
+ line AS (SELECT k, CAST(sum(w) OVER (ORDER BY k) - w AS BIGINT) AS lo, CAST(sum(w) OVER (ORDER BY k) AS BIGINT) AS hi FROM w)"""
+
+
+@register("weighted_pick", f"""WITH {_WEIGHTS},
+ r AS (SELECT o_orderkey AS id, CAST(floor({draw_uniform_sql(STORY.growth.seed, 'weighted', 'o_orderkey')} * CAST((SELECT sum(w) FROM w) AS DOUBLE)) AS BIGINT) AS pt FROM orders)
+SELECT id, k AS picked FROM r JOIN line ON pt >= lo AND pt < hi""")
+def q_weighted_pick(spark, sf):
+    """Each order gets a user, drawn by how active users are in the events."""
+    rows = read_table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"))
+    weights = read_table(spark, sf, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("w"))
+    return weighted_pick(rows, "id", weights, "user_id", "w", STORY.growth.seed, "weighted")
+
+
+@register("change_points", f"""{ALL},
+ c AS (SELECT CAST(created_at AS DATE) AS d, count(*) AS n FROM follows GROUP BY 1),
+ days AS (SELECT CAST(unnest(generate_series(min(d), max(d), INTERVAL 1 DAY)) AS DATE) AS d FROM c),
+ v AS (SELECT row_number() OVER (ORDER BY days.d) AS i, days.d, CAST(coalesce(n, 0) AS DOUBLE) AS n FROM days LEFT JOIN c USING (d)),
+ p AS (SELECT [0.0::DOUBLE] || list(s1 ORDER BY i) AS s1, [0.0::DOUBLE] || list(s2 ORDER BY i) AS s2, max(i) AS len, 3.0 * 1000 * 1000 * ln(greatest(2, max(i))) AS pen
+       FROM (SELECT i, sum(x) OVER (ORDER BY i) AS s1, sum(x * x) OVER (ORDER BY i) AS s2 FROM (SELECT i, floor(1000 * 2 * sqrt(n + 0.375) + 0.5) AS x FROM v))),
+ f AS (SELECT 0 AS j, [0.0::DOUBLE] AS best, [0::BIGINT] AS last FROM p
+   UNION ALL SELECT j + 1, list_append(best, least_cost + pen), list_append(last, list_position(costs, least_cost) - 1) FROM (
+     SELECT *, list_min(costs) AS least_cost FROM (
+       SELECT f.j, best, last, pen, list_transform(range(0, f.j + 1), lambda i: best[i + 1] + (s2[f.j + 2] - s2[i + 1] - (s1[f.j + 2] - s1[i + 1]) * (s1[f.j + 2] - s1[i + 1]) / (f.j + 1 - i))) AS costs
+       FROM f, p WHERE f.j < p.len))),
+ done AS (SELECT last FROM f WHERE j = (SELECT len FROM p)),
+ back AS (SELECT last[-1] AS a, (SELECT len FROM p) AS e, last FROM done UNION ALL SELECT last[a + 1], a, last FROM back WHERE a > 0)
+SELECT 'follows' AS table_name, CAST(min(d) AS TIMESTAMP) AS first_day, CAST(max(d) AS TIMESTAMP) AS last_day, count(*) AS days, round(avg(n), 6) AS mean
+FROM back JOIN v ON v.i > back.a AND v.i <= back.e GROUP BY back.a""".replace("WITH ", "WITH RECURSIVE ", 1))
+def q_change_points(spark, sf):
+    """The levels of the follows per day; the burst shows as a segment of its own."""
+    daily = K.daily_counts(follows_of(spark, sf), "created_at", "n").withColumn("table_name", F.lit("follows"))
+    return change_points(stored(daily), "day", "n", "table_name")
+
+
+@register("period_report_in_sql", ORACLES["period_report"])
+def q_period_report_in_sql(spark, sf):
+    """The period report as SQL with named parameters."""
+    return sql_reports.period_report(people(spark, sf), rows_of(spark, sf), follows_stored(spark, sf), TL)
+
+
+@register("shares_in_sql", """
+SELECT o_orderpriority AS value, count(*) AS n_rows, round(100.0 * count(*) / sum(count(*)) OVER (), 2) AS percentage FROM orders GROUP BY 1 HAVING count(*) >= 5""")
+def q_shares_in_sql(spark, sf):
+    """Shares as SQL with a parameter."""
+    return sql_reports.shares(read_table(spark, sf, "orders"), "o_orderpriority", 5)
