@@ -79,31 +79,34 @@ def quality_signals(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_exclaims, n_stop_words, n_lines, n_dup_lines,
     n_bullets, n_ellipses and n_repeat_words (all long)."""
     keep = [c for c in docs.columns if c not in (*SIGNALS, "base_failed", "failed", "kept")]
-    t = text_of(F.col(text_col))
-    d = docs.withColumn("__t", t)
-    d = d.withColumn("__w", words(F.col("__t")))
-    d = d.withColumn("__lines", F.filter(F.split("__t", "\n"),
+    own = "__q"         # columns made on the way have names that the input has not
+    while any(c.startswith(own) for c in docs.columns):
+        own += "_"
+    t_, w_, lines_, h_, z_ = (f"{own}{x}" for x in ("t", "w", "lines", "h", "z"))
+    d = docs.withColumn(t_, text_of(F.col(f"`{text_col}`")))
+    d = d.withColumn(w_, words(F.col(t_)))
+    d = d.withColumn(lines_, F.filter(F.split(t_, "\n"),
                                          lambda x: F.trim(F.translate(x, "\t\x0b\x0c\r", "    ")) != ""))
-    n = F.size("__w")
-    d = d.withColumn("__h", F.when(n >= WINDOW, F.transform(
-        F.sequence(F.lit(1), n - (WINDOW - 1)), lambda i: F.xxhash64(F.slice("__w", i, WINDOW))))
+    n = F.size(w_)
+    d = d.withColumn(h_, F.when(n >= WINDOW, F.transform(
+        F.sequence(F.lit(1), n - (WINDOW - 1)), lambda i: F.xxhash64(F.slice(w_, i, WINDOW))))
         .otherwise(F.array().cast("array<bigint>")))
     # most texts repeat no window: only the others sort their windows
-    d = d.withColumn("__z", F.when(F.size(F.array_distinct("__h")) < F.size("__h"), F.sort_array(
-        F.transform("__h", lambda h, i: F.struct(h.alias("h"), i.alias("p"))))))
-    n_lines = F.size("__lines")
+    d = d.withColumn(z_, F.when(F.size(F.array_distinct(h_)) < F.size(h_), F.sort_array(
+        F.transform(h_, lambda h, i: F.struct(h.alias("h"), i.alias("p"))))))
+    n_lines = F.size(lines_)
     return d.select(
         *named(keep),
         n.cast("long").alias("n_words"),
-        F.length(F.translate("__t", " \t\n\x0b\x0c\r", "")).cast("long").alias("word_chars"),
-        (F.length("__t") - F.length(F.translate("__t", SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        (F.length("__t") - F.length(F.translate("__t", "!", ""))).cast("long").alias("n_exclaims"),
-        F.size(F.filter("__w", lambda w: ascii_lower(w).isin(*STOP_WORDS))).cast("long").alias("n_stop_words"),
+        F.length(F.translate(t_, " \t\n\x0b\x0c\r", "")).cast("long").alias("word_chars"),
+        (F.length(t_) - F.length(F.translate(t_, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        (F.length(t_) - F.length(F.translate(t_, "!", ""))).cast("long").alias("n_exclaims"),
+        F.size(F.filter(w_, lambda w: ascii_lower(w).isin(*STOP_WORDS))).cast("long").alias("n_stop_words"),
         n_lines.cast("long").alias("n_lines"),
-        (n_lines - F.size(F.array_distinct("__lines"))).cast("long").alias("n_dup_lines"),
-        F.size(F.filter("__lines", lambda x: F.ltrim(x).substr(1, 1).isin("-", "*", "•"))).cast("long").alias("n_bullets"),
-        F.size(F.filter("__lines", lambda x: F.rtrim(x).endswith("...") | F.rtrim(x).endswith("…"))).cast("long").alias("n_ellipses"),
-        F.when(F.col("__z").isNull(), F.lit(0).cast("long")).otherwise(_covered(F.col("__z"))).alias("n_repeat_words"),
+        (n_lines - F.size(F.array_distinct(lines_))).cast("long").alias("n_dup_lines"),
+        F.size(F.filter(lines_, lambda x: F.ltrim(x).substr(1, 1).isin("-", "*", "•"))).cast("long").alias("n_bullets"),
+        F.size(F.filter(lines_, lambda x: F.rtrim(x).endswith("...") | F.rtrim(x).endswith("…"))).cast("long").alias("n_ellipses"),
+        F.when(F.col(z_).isNull(), F.lit(0).cast("long")).otherwise(_covered(F.col(z_))).alias("n_repeat_words"),
     )
 
 

@@ -111,3 +111,43 @@ def every_leak(rows, items, k=5, percent=75, radius=64):
                     out.add((doc, item))
                     break
     return out
+
+
+def passes(text, rules, base, stop_words, symbols):
+    """Whether no rule (name, signal, base, percent, above, min_words) rejects a text."""
+    t = text or ""
+    w = words(t)
+    lines = [x for x in t.split("\n") if words(x)]
+    windows = [tuple(w[i:i + 5]) for i in range(len(w) - 4)]
+    seen = Counter(windows)
+    v = {"one": 1, "n_words": len(w), "word_chars": sum(map(len, w)), "n_symbols": sum(t.count(c) for c in symbols), "n_exclaims": t.count("!"),
+         "n_stop_words": sum(x.translate(LOWER) in stop_words for x in w), "n_lines": len(lines), "n_dup_lines": len(lines) - len(set(lines)),
+         "n_bullets": sum(x.lstrip(" ")[:1] in ("-", "*", "•") for x in lines), "n_ellipses": sum(x.rstrip(" ").endswith(("...", "…")) for x in lines),
+         "n_repeat_words": len({p for i, g in enumerate(windows) if seen[g] > 1 for p in range(i, i + 5)})}
+    for r in (*base, *rules):
+        a, b = 100 * v[r.signal], r.percent * v[r.base]
+        if len(w) >= r.min_words and (a > b if r.above else a < b):
+            return False
+    return True
+
+
+SECRETS = ((re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), 2, 8),
+           (re.compile("AKIA[A-Z0-9]+"), 0, 16), (re.compile("[0-9a-f]+"), 0, 32))
+
+
+def live(rows, owners=3, repos=6, distinct=8):
+    """Numbers of the rows (text, source, lang) that hold a live-looking value of few owners and repositories."""
+    held = defaultdict(set)
+    found = []
+    for n, (text, source, lang) in enumerate(rows):
+        for pattern, group, least in SECRETS:
+            for m in pattern.finditer(text or ""):
+                if len(m[group]) >= least:
+                    held[m[group]].add((source, f"{source or ''}/{lang or ''}"))
+                    found.append((n, m[group]))
+    out = set()
+    for n, value in found:
+        many = len({s or "" for s, _ in held[value]}) >= owners or len(held[value]) >= repos
+        if not many and re.search("[0-9]", value) and re.search("[A-Za-z]", value) and len(set(value)) >= distinct:
+            out.add(n)
+    return out

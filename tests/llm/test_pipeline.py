@@ -1,7 +1,10 @@
 """The corpus pipeline against the brute-force operators, stage by stage."""
 
+import public_tokenizers
+from tokenizers import Tokenizer
+
 import corpus_pipeline as C
-from spikeloom.llm import neardup, quality, secrets
+from spikeloom.llm import decontam, neardup, packing, quality, tokens
 from tests.conftest import SF_SMALL
 from tests.llm import brute
 from tests.llm.test_operators import SCHEMA, awkward
@@ -26,16 +29,27 @@ def test_run_keeps_what_brute_force_keeps(spark, monkeypatch):
         rows = [(r["doc_id"], r["text"]) for r in before.select("doc_id", "text").collect()]
         assert after.columns == before.columns
         if name == "quality_rules":
-            want = [r["doc_id"] for r in quality.judge(before).collect() if r["kept"]]
+            want = [i for i, t in rows if brute.passes(t, quality.METHOD_RULES, quality.BASE_RULES, quality.STOP_WORDS, quality.SYMBOLS)]
         elif name == "near_dedup":
             want = [doc for doc, _, comp in brute.near(rows) if doc == comp]
         elif name == "benchmark_decontamination":
-            bad = {doc for doc, _ in brute.leaks(rows, bench)}
+            bad = {doc for doc, _ in brute.every_leak(rows, bench, radius=decontam.Leak().radius)}
             want = [doc for doc, _ in rows if doc not in bad]
         else:
-            want = [r["doc_id"] for r in secrets.scan_corpus(before).where("n_live = 0").collect()]
+            whole = [tuple(r) for r in before.select("doc_id", "text", "source", "lang").collect()]
+            bad = brute.live([r[1:] for r in whole])
+            want = [r[0] for n, r in enumerate(whole) if n not in bad]
         assert ids(after) == sorted(want, key=repr), name
-    assert set(ids(packed)) == set(ids(seen[-1][1]))
+    # every token of every document that is left is in some bin, no bin is too full or holds a source twice
+    library = Tokenizer.from_file(public_tokenizers.path(tokens.TOKENIZER))
+    size = {r["doc_id"]: len(library.encode(r["text"] or "", add_special_tokens=False)) + 1 for r in seen[-1][1].collect()}
+    bins: dict = {}
+    for r in packed.collect():
+        bins.setdefault(r["pack_id"], []).append(r)
+        size[r["doc_id"]] -= r["n_tokens"]
+    assert set(size.values()) == {0}
+    for rows in bins.values():
+        assert sum(r["n_tokens"] for r in rows) <= packing.CAPACITY and len({r["source"] for r in rows}) == len(rows)
 
 
 def test_awkward_and_no_rows(spark):
