@@ -26,12 +26,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spikeloom.llm import tokens
-from spikeloom.llm.common import ascii_lower, squeeze, table, text_of
+from spikeloom.llm.common import table, text_of
 from spikeloom.session import stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CAPACITY = 2048
+# runs of white space that are not one space
+WIDE_SPACE = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
 UNIT_ROWS = 20_000
 
 
@@ -119,7 +121,8 @@ def text_size(text: Column) -> Column:
 
 def text_cluster(text: Column) -> Column:
     """Equal word sequences, letter case aside, are one duplicate cluster."""
-    return F.xxhash64(squeeze(ascii_lower(text_of(text))))
+    one_space = F.regexp_replace(F.lower(text_of(text)), WIDE_SPACE, " ")
+    return F.xxhash64(F.trim(one_space))
 
 
 def pack_texts(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text",

@@ -28,18 +28,19 @@ import types
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spikeloom.llm import shingles as S
 from spikeloom.llm.common import named, table, text_of
 from spikeloom.llm.lookup import HashTable
+from spikeloom.session import stored
 
 # Spark ships these functions with their code, so workers need no copy of this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 TOKENIZER = "byte_bpe_50k.json"
-TABLE_SIZE = 262_144        # units of the broadcast table: some 25 MB
+TABLE_SIZE = 131_072        # units of the broadcast table: some 12 MB
 SUMMARY_SIZE = 131_072      # units a task reports at most
 WATCHED = 262_144           # units a task counts at a time
 CACHE_BITS = 17             # slots of a worker's cache, as a power of two: 5 MB
@@ -283,11 +284,16 @@ def _summaries():
 
 
 def frequent_lengths(docs: DataFrame, path: str, text_col: str = "text", table_size: int = TABLE_SIZE) -> Lengths:
-    """Token counts of the ``table_size`` most frequent units of all documents. The only rows shuffled are
+    """Token counts of the most frequent units of all documents, at most ``table_size`` (those of a count that
+    does not fit whole are left out). The only rows shuffled are
     the tasks' bounded summaries; the result is bounded by the parameter."""
     found = docs.select(text_of(text_col).alias("t")).mapInArrow(_summaries(), "unit binary, n long")
-    top = found.groupBy("unit").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "unit").limit(table_size).collect()
-    known = [bytes(r["unit"]) for r in top]
+    counts = stored(found.groupBy("unit").agg(F.sum("n").alias("n")))
+    # the least count that fits, from one row per count: no sort of the units, and only those kept reach the driver
+    hist = counts.groupBy("n").agg(F.count(F.lit(1)).alias("c"))
+    hist = hist.withColumn("upto", F.sum("c").over(Window.partitionBy(F.lit(0)).orderBy(F.desc("n"))))
+    least = hist.where(F.col("upto") <= table_size).agg(F.min("n")).first()[0]
+    known = counts.where(F.col("n") >= F.lit(least)).select("unit").toArrow().column("unit").to_pylist()
     return Lengths(known, _lengths(load(path)[0], known).tolist())
 
 
