@@ -90,17 +90,18 @@ def block_keys(fp: Column, p: Leak) -> Column:
     return F.array(*[F.struct(F.lit(i).alias("no"), _block(fp, i, p).alias("bits")) for i in range(p.blocks)])
 
 
-def flipped_keys(fp: Column, p: Leak) -> Column:
-    """The keys of all fingerprints that differ in a block by floor(radius / blocks) bits at most: two within the
-    radius differ so little in one block at least."""
-    out = []
+def entered(marks: DataFrame, fp: str, p: Leak) -> DataFrame:
+    """The rows once for every key (``block``) that differs from one of their own by floor(radius / blocks) bits at
+    most: two fingerprints within the radius differ so little in one block at least."""
+    flips = []
     for i in range(p.blocks):
         width = 64 * (i + 1) // p.blocks - 64 * i // p.blocks
-        masks = [sum(1 << b for b in bits) for n in range(p.radius // p.blocks + 1) for bits in combinations(range(width), n)]
-        near = F.array(*[F.lit(m).cast("long") for m in masks])
-        bits = _block(fp, i, p)
-        out.append(F.transform(near, lambda m: F.struct(F.lit(i).alias("no"), bits.bitwiseXOR(m).alias("bits"))))
-    return F.concat(*out)
+        flips += [(i, sum(1 << b for b in bits)) for n in range(p.radius // p.blocks + 1) for bits in combinations(range(width), n)]
+    # a fixed table, a few hundred rows per block
+    flips = marks.sparkSession.createDataFrame(flips, "no int, flip long")
+    own = marks.withColumn("__b", F.explode(block_keys(F.col(fp), p)))
+    own = own.withColumn("no", F.col("__b.no")).join(F.broadcast(flips), "no")
+    return own.withColumn("block", F.struct("no", F.col("__b.bits").bitwiseXOR(F.col("flip")).alias("bits"))).drop("__b", "no", "flip")
 
 
 def _items(benchmark: DataFrame, p: Leak) -> DataFrame:
@@ -146,8 +147,8 @@ def _spans(shared: DataFrame, items: DataFrame, p: Leak) -> DataFrame:
 
 def _windows(texts: DataFrame, spans: DataFrame) -> DataFrame:
     """k1, k2, n, start, shared, win: the windows at the starts of ``spans``."""
-    # Spark broadcasts the spans if it measures them small enough, else both sides shuffle
-    held = texts.join(stored(spans), ["k1", "k2"]).withColumn("w", words(ascii_lower(F.col("t"))))
+    # a row of spans has no bound, so they are never broadcast: a merge join at every size, split where a text has many copies
+    held = texts.join(stored(spans).hint("merge"), ["k1", "k2"]).withColumn("w", words(ascii_lower(F.col("t"))))
 
     def wins(x: Column) -> Column:
         last = F.least(x["b"], F.greatest(F.lit(0), F.size("w") - x["n"]))
@@ -185,7 +186,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
         .select("item_id", "n", F.col("shingles").alias("item_shingles"), F.col("fp").alias("item_fp"))
     wins, marks = stored(wins), cut(marks)
     a = wins.select("n", "win", "fp", F.explode(block_keys(F.col("fp"), p)).alias("block"))
-    b = marks.select("n", "item_id", "item_fp", F.explode(flipped_keys(F.col("item_fp"), p)).alias("block"))
+    b = entered(marks.select("n", "item_id", "item_fp"), "item_fp", p)
     near = a.join(b, ["n", "block"]).where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= p.radius)
     near = near.select("n", "win", "item_id").distinct()
     both = near.join(wins.select("n", "win", "shingles"), ["n", "win"]).join(

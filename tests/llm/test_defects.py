@@ -87,7 +87,7 @@ def test_blocks_find_all_within_the_radius_and_visit_few(spark):
     a = spark.createDataFrame([(n, signed(y)) for n, y in enumerate(fps)], "n long, fp long")
     b = spark.createDataFrame([(i, signed(x)) for i, x in enumerate(items)], "i long, fp long")
     a = a.select("n", F.explode(decontam.block_keys(F.col("fp"), p)).alias("block"))
-    b = b.select("i", F.explode(decontam.flipped_keys(F.col("fp"), p)).alias("block"))
+    b = decontam.entered(b, "fp", p).select("i", "block")
     met = a.join(b, "block").select("n", "i").distinct().cache()
     got = {tuple(r) for r in met.collect()}
     assert {(n, i) for n, (i, _) in enumerate(near)} <= got
