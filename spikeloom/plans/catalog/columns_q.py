@@ -9,6 +9,7 @@ from spikeloom.functions import text as X
 from spikeloom.functions.draws import draw_uniform, draw_uniform_sql
 from spikeloom.plans.catalog.common import SEED as S
 from spikeloom.plans.registry import register
+from spikeloom.session import spread
 from spikeloom.sources.tables import USERS_STANDIN_SQL, read_table, users_standin
 
 
@@ -47,14 +48,14 @@ def q_make_username(spark, sf):
 WITH {X.TEXT_CTE_SQL}
 SELECT o_orderkey AS id, {X.make_title_sql(S, 'o_orderkey')} AS title FROM orders {X.TEXT_JOIN_SQL}""")
 def q_make_title(spark, sf):
-    return X.add_title(read_table(spark, sf, "orders").select(F.col("o_orderkey").alias("id")), S, "id")
+    return X.add_title(spread(read_table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"))), S, "id")
 
 
 @register("make_body", f"""
 WITH {X.TEXT_CTE_SQL}
 SELECT o_orderkey AS id, {X.make_body_sql(S, 'o_orderkey')} AS body FROM orders {X.TEXT_JOIN_SQL}""")
 def q_make_body(spark, sf):
-    return X.add_body(read_table(spark, sf, "orders").select(F.col("o_orderkey").alias("id")), S, "id")
+    return X.add_body(spread(read_table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"))), S, "id")
 
 
 @register("hash_text", f"""

@@ -26,6 +26,7 @@ from spikeloom.functions import text as X
 from spikeloom.operators.edges import add_reciprocal
 from spikeloom.operators.joins import dense_positions, joined_through, take_position
 from spikeloom.params import PERIODS, ROLES_BY_PERIOD_E, GrowthParams
+from spikeloom.session import spread
 from spikeloom.sources.tables import FOLLOWS_SCHEMA, POSTS_SCHEMA, USERS_SCHEMA, conform
 
 STEP = 1_000_003        # a prime: rank * STEP mod n runs over all users
@@ -78,7 +79,7 @@ def build_posts(rows: DataFrame, s: Story) -> DataFrame:
     """posts from (id, user_id, created_at)."""
     seed = s.growth.seed
     status = D.draw_categorical_by(D.draw_uniform(seed, "status", "id"), s.period("created_at"), s.growth.statuses_by_period)
-    out = X.add_body(X.add_title(rows.withColumn("status", status), seed, "id"), seed, "id")
+    out = X.add_body(X.add_title(spread(rows).withColumn("status", status), seed, "id"), seed, "id")
     return conform(out, POSTS_SCHEMA)
 
 

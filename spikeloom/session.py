@@ -71,3 +71,14 @@ def stored(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+SPLIT = 128 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows that get costly columns next: a small input is a few splits, and as many busy tasks. Below one split per
+    core, by Spark's own estimate of its size, the rows are dealt out to all cores; larger inputs stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * SPLIT else df
