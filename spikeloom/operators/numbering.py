@@ -12,7 +12,8 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spikeloom.functions.draws import draw_uniform
+from spikeloom.functions.draws import draw_categorical_by, draw_uniform
+from spikeloom.operators.joins import dense_positions
 from spikeloom.operators.timeline import expand_counts
 from spikeloom.session import stored
 
@@ -62,3 +63,18 @@ def weighted_pick(rows: DataFrame, row_key: str, weights: DataFrame, key: str, w
     r = rows.withColumn("__at", point).withColumn("__bin", F.floor(F.col("__at") / width).cast("bigint"))
     hit = r.join(bins, "__bin").where((F.col("__at") >= F.col("__lo")) & (F.col("__at") < F.col("__hi")))
     return hit.withColumnRenamed("__k", out).drop("__bin", "__at", "__lo", "__hi")
+
+
+def exact_shares(df: DataFrame, key: str, group: str, shares: dict, seed: int, out: str = "value", chunk_rows: int = 1_000_000) -> DataFrame:
+    """Adds a value to each row so that every group has each of its values as often as its share says, to less than one
+    row (C4, J5): rows are ranked inside their group in a seeded order, and ranks are cut where shares end. ``shares``: value
+    weights by group. Rows of a null group, or of one without shares, get no value.
+
+    A group with a third of all rows is ranked in chunks (`dense_positions`)."""
+    some = df.where(F.col(group).isNotNull())
+    pos, groups = dense_positions(some, group, key, chunk_rows, seed, "__pos")
+    pos = pos.join(groups, group)
+    place = (F.col("__pos") - F.col("g_start") - F.lit(0.5)) / F.col("g_rows")
+    ranked = pos.withColumn(out, draw_categorical_by(place, group, shares)).drop("__pos", "g_start", "g_rows")
+    rest = df.where(F.col(group).isNull()).withColumn(out, F.lit(None).cast("string"))
+    return ranked.select(*df.columns, out).unionByName(rest)

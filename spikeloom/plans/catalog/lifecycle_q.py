@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from spikeloom.operators import checks as J
 from spikeloom.operators import cohorts as C
 from spikeloom.operators import growth as K
-from spikeloom.functions.draws import draw_uniform_sql
+from spikeloom.functions.draws import draw_categorical_by_sql, draw_uniform_sql
 from spikeloom.operators.lifetimes import cut_activity, spike_lifetimes, spike_lifetimes_sql
-from spikeloom.operators.numbering import numbered, weighted_pick
+from spikeloom.operators.numbering import exact_shares, numbered, weighted_pick
 from spikeloom.operators.segments import change_points
+from spikeloom.params import ROLES_BY_PERIOD_E
 from spikeloom.plans import sql_reports
 from spikeloom.plans.catalog.build_q import ALL, HI, LO, STORY, TL, _ROWS, _USERS, build_users, follows_of, follows_stored, people, rows_of
 from spikeloom.plans.catalog.growth_q import _cohort_sql
@@ -225,3 +226,15 @@ SELECT o_orderpriority AS value, count(*) AS n_rows, round(100.0 * count(*) / su
 def q_shares_in_sql(spark, sf):
     """Shares as SQL with a parameter."""
     return sql_reports.shares(read_table(spark, sf, "orders"), "o_orderpriority", 5)
+
+
+_PLACE = f"(row_number() OVER (PARTITION BY period ORDER BY {draw_uniform_sql(STORY.growth.seed, 'sub', 'id')}, id) - 0.5::DOUBLE) / count(*) OVER (PARTITION BY period)"
+
+
+@register("exact_shares", f"""
+SELECT id, period, {draw_categorical_by_sql('place', 'period', ROLES_BY_PERIOD_E)} AS value FROM (
+  SELECT id, period, {_PLACE} AS place FROM (SELECT id, {STORY.period_sql('created_at')} AS period FROM {USERS_STANDIN_SQL}))""")
+def q_exact_shares(spark, sf):
+    """Roles whose shares in every period are exact, not drawn."""
+    users = people(spark, sf).select("id", STORY.period("created_at").alias("period"))
+    return exact_shares(users, "id", "period", ROLES_BY_PERIOD_E, STORY.growth.seed)

@@ -78,3 +78,19 @@ def test_change_points_find_the_burst(spark):
 def test_both_forms_of_the_report(spark):
     a, b = (sorted(map(tuple, QUERIES[n](spark, SF_SMALL).collect())) for n in ("period_report", "period_report_in_sql"))
     assert a == b
+
+
+def test_shares_are_exact_in_every_group(spark):
+    from spikeloom.params import ROLES_BY_PERIOD_E
+    sizes = {"pre": 1003, "peak": 17, "post": 1}
+    rows = [(i, p) for p, n in sizes.items() for i in range(n)] + [(5000, None), (5001, "other")]
+    rows = [(n, p) for n, (_, p) in enumerate(rows)]
+    df = spark.createDataFrame(rows, "id long, period string")
+    a, b = (sorted(map(tuple, N.exact_shares(df, "id", "period", ROLES_BY_PERIOD_E, 7, chunk_rows=c).collect()), key=repr) for c in (1_000_000, 50))
+    assert a == b and len(a) == len(rows)
+    for p, n in sizes.items():
+        weights = ROLES_BY_PERIOD_E[p]
+        total = sum(w for _, w in weights)
+        for value, w in weights:
+            assert abs(sum(r[1] == p and r[2] == value for r in a) - n * w / total) < 1
+    assert {r[2] for r in a if r[1] in (None, "other")} == {None}
