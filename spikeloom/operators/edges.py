@@ -75,26 +75,52 @@ def sides(n: Column) -> tuple[Column, Column]:
     return a, F.ceil((n / a)).cast("bigint")
 
 
+def _round(i: int, left: Column, right: Column, a: Column, b: Column, seed: int, tag: str, key: Column) -> tuple[Column, Column]:
+    """One round of the network: shifts one half by a draw on the other, so it can be undone."""
+    other, size = (right, a) if i % 2 == 0 else (left, b)
+    shift = draw_int(draw_uniform(seed, f"{tag}{i}", F.concat_ws("/", key.cast("string"), other.cast("string"))), 0, size)
+    return ((left + shift) % a, right) if i % 2 == 0 else (left, (right + shift) % b)
+
+
 def _feistel(x: Column, a: Column, b: Column, seed: int, tag: str, key: Column) -> Column:
-    """One pass of the network over a x b: each round shifts one half by a draw on the other, so it can be undone."""
+    """One pass of the network over a x b as one expression. It repeats its rounds: 11 hashes."""
     left, right = F.floor(x / b).cast("bigint"), x % b
     for i in range(ROUNDS):
-        other, size = (right, a) if i % 2 == 0 else (left, b)
-        shift = draw_int(draw_uniform(seed, f"{tag}{i}", F.concat_ws("/", key.cast("string"), other.cast("string"))), 0, size)
-        if i % 2 == 0:
-            left = (left + shift) % a
-        else:
-            right = (right + shift) % b
+        left, right = _round(i, left, right, a, b, seed, tag, key)
     return left * b + right
 
 
+def _walked(first: Column, n: Column, seed: int, tag: str, key: Column) -> Column:
+    """``first``, or where that lies outside 0..n-1, the next place inside on the walk from it."""
+    a, b = sides(n)
+    far = F.aggregate(F.sequence(F.lit(1), F.lit(WALKS)), first, lambda v, _: F.when(v < n, v).otherwise(_feistel(v, a, b, seed, tag, key)))
+    far = F.when(far < n, far).otherwise(F.raise_error(F.lit("permuted: walk too long")).cast("bigint"))
+    return F.when(first < n, first).otherwise(far)
+
+
 def permuted(x: Column, n: Column, seed: int, tag: str, key: Column) -> Column:
     """A seeded permutation of 0..n-1, one per ``key``, at the place x: a Feistel network over the smallest near-square that
-    holds n numbers, walked on while it lands outside (seldom: a share of one in the square's side)."""
+    holds n numbers, walked on while it lands outside (seldom: a share of one in the square's side). For few rows; many
+    take `with_permuted`."""
+    return _walked(_feistel(x, *sides(n), seed, tag, key), n, seed, tag, key)
+
+
+def with_permuted(df: DataFrame, out: str, x: Column, n: Column, seed: int, tag: str, key: Column) -> DataFrame:
+    """Adds `permuted` as a column ``out`` to many rows. Each round is a projection of its own, so a row hashes once per
+    round in compiled code; only rows that land outside enter the walk."""
     a, b = sides(n)
-    step = lambda v: _feistel(v, a, b, seed, tag, key)
-    walked = F.aggregate(F.sequence(F.lit(1), F.lit(WALKS)), step(x), lambda v, _: F.when(v < n, v).otherwise(step(v)))
-    return F.when(walked < n, walked).otherwise(F.raise_error(F.lit("permuted: walk too long")).cast("bigint"))
+    rows = df.withColumns({"__left": F.floor(x / b).cast("bigint"), "__right": x % b})
+    for i in range(ROUNDS):
+        left, right = _round(i, F.col("__left"), F.col("__right"), a, b, seed, tag, key)
+        rows = rows.withColumns({"__left": left, "__right": right})
+    rows = rows.withColumn("__first", F.col("__left") * b + F.col("__right"))
+    return rows.withColumn(out, _walked(F.col("__first"), n, seed, tag, key)).drop("__left", "__right", "__first")
+
+
+def _place(c: Column) -> Column:
+    """A place, typed as never null (-1 for none): the null check that a join on it adds would be pushed below the
+    permutation, and so repeat it."""
+    return F.coalesce(c, F.lit(-1).cast("bigint"))
 
 
 def uniform_edges(spark: SparkSession, n: int, n_nodes: int, seed: int, tag: str = "pairs", rows_per_part: int = 1_000_000) -> DataFrame:
@@ -118,8 +144,8 @@ def degree_edges(degrees: DataFrame, key: str, place: str, degree: str, n_nodes:
     are distinct by construction; a node with very many is expanded in chunks by many tasks."""
     d = degrees.select(key, F.col(place).cast("bigint").alias("__at"), F.least(F.col(degree), F.lit(n_nodes - 1)).cast("bigint").alias("__d"))
     rows = expand_counts(d, "__d", chunk_rows, "k")
-    other = permuted(F.col("k"), F.lit(n_nodes - 1).cast("bigint"), seed, tag, F.col("__at"))
-    return rows.withColumn("__o", other).select(key, "k", (F.col("__o") + (F.col("__o") >= F.col("__at")).cast("bigint")).alias("b"))
+    rows = with_permuted(rows, "__o", F.col("k"), F.lit(n_nodes - 1).cast("bigint"), seed, tag, F.col("__at"))
+    return rows.select(key, "k", _place(F.col("__o") + (F.col("__o") >= F.col("__at")).cast("bigint")).alias("b"))
 
 
 def feistel_walk_sql(src: str, n: str, seed: int, tag: str, key: str) -> str:

@@ -1,6 +1,8 @@
 """Operator properties on hand-made frames: stability, exact sizes, edge cases."""
 
 import datetime as dt
+import hashlib
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -137,6 +139,50 @@ def test_degree_edges(spark):
     assert all(len(set(v)) == len(v) and i - 100 not in v and set(v) <= set(range(10)) for i, v in by.items())
 
 
+def walk_by_hand(x, n, seed, tag, key):
+    """The walk over the network in plain Python."""
+    a = max(1, math.ceil(math.sqrt(n)))
+    b = math.ceil(n / a)
+    while True:
+        left, right = divmod(x, b)
+        for i in range(L.ROUNDS):
+            other, size = (right, a) if i % 2 == 0 else (left, b)
+            u = int(hashlib.md5(f"{seed}|{tag}{i}|{key}/{other}".encode()).hexdigest()[:12], 16) / 2 ** 48
+            if i % 2 == 0:
+                left = (left + int(u * size)) % a
+            else:
+                right = (right + int(u * size)) % b
+        x = left * b + right
+        if x < n:
+            return x
+
+
+def test_permutation_in_steps_is_the_one_by_hand(spark):
+    for n in (1, 2, 3, 5, 17, 101, 1009):
+        rows = spark.range(3 * n).select((F.col("id") % n).alias("x"), F.floor(F.col("id") / n).alias("key"))
+        size = F.lit(n).cast("bigint")
+        steps = L.with_permuted(rows, "y", F.col("x"), size, 5, "p", F.col("key"))
+        assert steps.columns == ["x", "key", "y"]
+        want = sorted((k, x, walk_by_hand(x, n, 5, "p", k)) for k in range(3) for x in range(n))
+        assert _values(steps, "key", "x", "y") == want
+        assert _values(rows.withColumn("y", L.permuted(F.col("x"), size, 5, "p", F.col("key"))), "key", "x", "y") == want
+
+
+def hashing(df):
+    """The optimised plan's nodes that hash: the hashes of those without the walk, and the nodes with it."""
+    nodes = [x for x in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "md5(" in x]
+    return [x.count("md5(") for x in nodes if "aggregate(" not in x], [x for x in nodes if "aggregate(" in x]
+
+
+def test_degree_edges_hash_once_a_round(spark):
+    """One hash per round and row, also below a join on the partner, whose null check must not repeat them."""
+    nodes = spark.createDataFrame([(100 + i, i, 3) for i in range(50)], "id long, place long, d long")
+    e = L.degree_edges(nodes, "id", "place", "d", 50, 7)
+    rounds, walks = hashing(e.join(nodes.select(F.col("place").alias("b"), F.col("id").alias("to")), "b"))
+    assert rounds == [1] * L.ROUNDS
+    assert len(walks) == 1 and "Filter" not in walks[0] and walks[0].index("THEN __first") < walks[0].index("aggregate(")
+
+
 def test_scaling_with_odd_weights(spark):
     def scaled(*weights, n=10):
         df = spark.createDataFrame([(i, w) for i, w in enumerate(weights)], "day long, w double")
