@@ -131,10 +131,11 @@ def uniform_edges(spark: SparkSession, n: int, n_nodes: int, seed: int, tag: str
     if n > every:
         raise ValueError(f"{n} edges requested but only {every} pairs exist")
     parts = max(1, math.ceil(n / rows_per_part), spark.sparkContext.defaultParallelism if n > 0 else 1)
-    pair = permuted(F.col("eid"), F.lit(every).cast("bigint"), seed, tag, F.lit(""))
-    e = spark.range(0, n, 1, parts).withColumnRenamed("id", "eid").withColumn("__p", pair)
+    e = spark.range(0, n, 1, parts).withColumnRenamed("id", "eid")
+    e = with_permuted(e, "__p", F.col("eid"), F.lit(every).cast("bigint"), seed, tag, F.lit(""))
     a, r = F.floor(F.col("__p") / (n_nodes - 1)).cast("bigint"), F.col("__p") % (n_nodes - 1)
-    return e.select("eid", a.alias("a"), r.alias("__r")).select("eid", "a", (F.col("__r") + (F.col("__r") >= F.col("a")).cast("bigint")).alias("b"))
+    return e.select("eid", _place(a).alias("a"), r.alias("__r")).select(
+        "eid", "a", _place(F.col("__r") + (F.col("__r") >= F.col("a")).cast("bigint")).alias("b"))
 
 
 def degree_edges(degrees: DataFrame, key: str, place: str, degree: str, n_nodes: int, seed: int, tag: str = "out",

@@ -183,6 +183,16 @@ def test_degree_edges_hash_once_a_round(spark):
     assert len(walks) == 1 and "Filter" not in walks[0] and walks[0].index("THEN __first") < walks[0].index("aggregate(")
 
 
+def test_uniform_edges_hash_once_a_round(spark):
+    nodes = spark.createDataFrame([(100 + i, i) for i in range(50)], "id long, place long")
+    e = L.uniform_edges(spark, 200, 50, 7)
+    for end in ("a", "b"):
+        e = e.join(nodes.select(F.col("place").alias(end), F.col("id").alias(f"{end}_id")), end)
+    rounds, walks = hashing(e)
+    assert rounds == [1] * L.ROUNDS
+    assert len(walks) == 1 and "Filter" not in walks[0] and walks[0].index("THEN __first") < walks[0].index("aggregate(")
+
+
 def test_scaling_with_odd_weights(spark):
     def scaled(*weights, n=10):
         df = spark.createDataFrame([(i, w) for i, w in enumerate(weights)], "day long, w double")
